@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op3_bpe
+from .fingerprints import op10_fingerprints
+from .jaccard import op9_jaccard
+from .langid import op2_langid
+from .mincut import op5_mincut
+from .packing import op8_packing
+from .quality import op6_quality
 from .sharding import op4_sharding
+from .substrings import op7_substrings
 from .webp import op1_webp
 
+_ALL = (
+    op1_webp, op2_langid, op3_bpe, op4_sharding, op5_mincut, op6_quality, op7_substrings, op8_packing, op9_jaccard,
+    op10_fingerprints,
+)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_webp, op3_bpe, op4_sharding)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
