@@ -30,10 +30,15 @@ def stage_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts the lineage, survives lost executors."""
+    """Writes df to the shared folder and reads it back: cuts the lineage, survives lost executors.
+
+    The shuffle files behind it are no longer needed; Spark drops them once the
+    driver has collected its garbage, which it is asked for here.
+    """
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/loamworks/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
