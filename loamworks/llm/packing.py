@@ -26,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBERED, WordBpe, _slices, vocabulary_path
+from .bpe import _WORDS, WordBpe, _slices, vocabulary_path
 from .common import arrow_pass, staged, table, text_of
 
 CAPACITY = 4096
 CLOSING_ID = 1
+#: Chunks that a worker remembers; then it starts anew, with the same results.
+CHUNKS = 600_000
 
 
 class ChunkIds(WordBpe):
@@ -43,26 +45,40 @@ class ChunkIds(WordBpe):
         super().__init__(path)
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.pieces(t) for t in texts]
-        new = {c for own in cut for c in own} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
+        every = set().union(*cut)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > CHUNKS:
             self.known.clear()
-            new = {c for own in cut for c in own}
-        plain = []
+            self.words.clear()
+            new = every
+        self._learn_ids(new)
+        known = self.known
+        for own in cut:
+            yield b"".join([known[c] for c in own])
+
+    def _learn_ids(self, new: set[str]) -> None:
+        """Words that several chunks share, such as one before different signs, are encoded once."""
+        words, plain, made = self.words, [], []
         for c in new:
             if "<|" in c and any(x in c for x in self.special):
                 # A special token, or its letters in another case, which the library would take for one.
                 self.learn({c})
                 self.known[c] = np.array(self.chunks[c][0].split(), "<u4").tobytes()
             else:
-                plain.append(c)
-        for c, e in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        known = self.known
-        for own in cut:
-            yield b"".join([known[c] for c in own])
+                own = _WORDS.findall(c)
+                made.append((c, own))
+                for w in own:
+                    if w not in words:
+                        words[w] = b""
+                        plain.append(w)
+        for w, e in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+            words[w] = np.array(e.ids, "<u4").tobytes()
+        for c, own in made:
+            self.known[c] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
 
 
 _LOADED: dict[str, ChunkIds] = {}
