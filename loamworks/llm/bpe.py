@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_pass, table, text_of
+from .common import arrow_pass, table, text_of, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks that a worker remembers; then it starts anew, with the same results.
@@ -245,17 +245,6 @@ def encoder(path: str) -> WordBpe:
     return _LOADED[path]
 
 
-def _slices(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > a and size + len(t) > limit:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """doc_id and ids array<int> of every row: the operator itself."""
     path = path or vocabulary_path()
@@ -264,7 +253,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         bpe = encoder(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in _slices(texts):
+            for a, b in text_slices(texts):
                 ids = [[int(x) for s, _ in own for x in s.split()] for own in bpe.encode_texts(texts[a:b])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
@@ -298,7 +287,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         for batch in batches:
             texts = batch.column(1).to_pylist()
             counts, by_ids, by_text = [], [], []
-            for a, b in _slices(texts):
+            for a, b in text_slices(texts):
                 for own in bpe.encode_texts(texts[a:b]):
                     ids = " ".join([x[0] for x in own])
                     counts.append(ids.count(" ") + 1 if ids else 0)

@@ -54,6 +54,19 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def text_slices(texts: list[str | None], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about so many characters together."""
+    a, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > a and size + n > limit:
+            yield a, i
+            a, size = i, 0
+        size += n
+    if a < len(texts):
+        yield a, len(texts)
+
+
 def row_key(doc_id: str, text: str) -> Column:
     """64-bit key of a row by its id and content; rows that share both are the same document."""
     return F.xxhash64(F.col(doc_id).cast("string"), text_of(text))

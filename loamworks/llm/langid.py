@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_pass, fold_bucket, table, text_of
+from .common import arrow_pass, fold_bucket, table, text_slices
 
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 5, 0
@@ -39,6 +39,10 @@ PRIOR = 0.01
 #: Probability of a character outside the vocabulary, alike in all languages.
 UNKNOWN = 1e-7
 REMEMBERED = 400_000
+#: From so many characters on, a word is scored in logarithms.
+LONG = 96
+#: Numbers that the forward algorithm holds at a time, about.
+FORWARD_CELLS = 400_000
 _LETTER = regex.compile(r"\p{L}")
 START = "▁"
 
@@ -111,50 +115,121 @@ def _initial(known: dict[str, int]) -> np.ndarray:
     return w / w.sum()
 
 
+class Lookup:
+    """Finds pieces by the hashes of their characters, many at once."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    BITS = 20
+
+    def __init__(self, known: dict[str, int]):
+        self.known, self.size, self.longest = known, len(known), max(map(len, known))
+        hashes = np.array([self.hash_of(p) for p in known], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], np.fromiter(known.values(), np.int64, len(known))[order]
+        # For each slot the place of its piece in hashes; -1 for none, -2 if several share it.
+        self.place = np.full(1 << self.BITS, -1, np.int32)
+        slots = self._slot(self.hashes)
+        self.place[slots] = np.arange(self.size)
+        distinct, uses = np.unique(slots, return_counts=True)
+        self.place[distinct[uses > 1]] = -2
+
+    @classmethod
+    def hash_of(cls, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(cls.BASE) + ord(c) + 1) & ((1 << 64) - 1)
+        return h
+
+    @classmethod
+    def _slot(cls, h: np.ndarray) -> np.ndarray:
+        # The last character alone moves only the lowest bits of a hash: mix before the upper ones are read.
+        return ((h ^ (h >> np.uint64(31))) * cls.BASE) >> np.uint64(64 - cls.BITS)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in h, pieces) of the hashes that are pieces."""
+        near = self.place.take(self._slot(h).view(np.int64))
+        at = np.flatnonzero(near != -1)
+        near, own = near[at], h[at]
+        shared = near == -2
+        near[shared] = np.minimum(np.searchsorted(self.hashes, own[shared]), self.size - 1)
+        same = self.hashes.take(near) == own
+        return at[same], self.numbers[near[same]]
+
+
+_LOOKUPS: dict[str, Lookup] = {}
+
+
 class Model:
     """Piece probabilities by language, and a memory of words."""
 
     def __init__(self, languages: list[str], logs: np.ndarray, path: str):
         self.languages, self.path = languages, path
         self.prob = np.exp(logs)  # pieces by languages
-        self._rows: list[tuple[float, ...]] | None = None
+        self._rows: np.ndarray | None = None
 
     def _start(self) -> None:
         self.known = pieces(self.path)
-        self.longest = max(map(len, self.known))
-        self._rows = [tuple(r) for r in self.prob.tolist()]
-        self._unknown = (UNKNOWN,) * len(self.languages)
+        if self.path not in _LOOKUPS or _LOOKUPS[self.path].known is not self.known:
+            _LOOKUPS[self.path] = Lookup(self.known)
+        self.lookup = _LOOKUPS[self.path]
+        self.longest = self.lookup.longest
+        # The last row is that of an unknown character.
+        self._rows = np.concatenate([self.prob, np.full((1, len(self.languages)), UNKNOWN)])
         self._forget()
 
     def _forget(self) -> None:
         self._index: dict[str, int] = {}
         self._logs = np.empty((1024, len(self.languages)))
 
+    def forward(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word in each language, summed over all segmentations.
+
+        All words advance together: the pieces that start at one place and have one length are one step.
+        """
+        find, n = self.lookup, len(words)
+        text = START + START.join(words)
+        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        size = np.fromiter(map(len, words), np.int64, n) + 1
+        first = np.cumsum(size) - size
+        place = np.arange(len(c)) - np.repeat(first, size)
+        left = np.repeat(size, size) - place
+        # A word has one node more than characters.
+        node = np.arange(len(c)) + np.repeat(np.arange(n), size)
+        at, h = np.arange(len(c)), np.zeros(len(c), np.uint64)
+        starts, lengths, found = [], [], []
+        for k in range(1, find.longest + 1):
+            inside = left[at] >= k
+            at, h = at[inside], h[inside]
+            h = h * find.BASE + c[at + (k - 1)]
+            hit, piece = find.find(h)
+            if k == 1:
+                # A character that is no piece is an unknown one.
+                single = np.full(len(at), find.size)
+                single[hit] = piece
+                hit, piece = np.arange(len(at)), single
+            starts.append(at[hit])
+            lengths.append(np.full(len(hit), k))
+            found.append(piece)
+        start, length, piece = np.concatenate(starts), np.concatenate(lengths), np.concatenate(found)
+        step = place[start] * (find.longest + 1) + length
+        order = np.argsort(step, kind="stable")
+        step, source, piece = step[order], node[start[order]], piece[order]
+        target = source + length[order]
+        alpha = np.zeros((len(c) + n, len(self.languages)))
+        alpha[node[first]] = 1.0
+        edge = np.r_[np.flatnonzero(np.r_[True, step[1:] != step[:-1]]), len(step)].tolist()
+        for a, b in zip(edge, edge[1:], strict=False):
+            to = target[a:b]
+            more = alpha.take(source[a:b], axis=0, mode="clip")
+            more *= self._rows.take(piece[a:b], axis=0, mode="clip")
+            more += alpha.take(to, axis=0, mode="clip")
+            alpha[to] = more
+        with np.errstate(divide="ignore"):
+            return np.maximum(np.log(alpha[node[first] + size]), -745.0)
+
     def word(self, word: str) -> list[float]:
-        """Log probability in each language, summed over all segmentations."""
-        n = len(self.languages)
-        s = START + word
-        if len(s) > 96:
-            return self._long(word)
-        get, rows, unknown, longest = self.known.get, self._rows, self._unknown, self.longest
-        size = len(s)
-        alpha = [[0.0] * n for _ in range(size + 1)]
-        alpha[0] = [1.0] * n
-        for i in range(size):
-            here = alpha[i]
-            single = False
-            for j in range(i + 1, min(size, i + longest) + 1):
-                p = get(s[i:j])
-                if p is not None:
-                    single |= j == i + 1
-                    row, there = rows[p], alpha[j]
-                    for k in range(n):
-                        there[k] += here[k] * row[k]
-            if not single:
-                there = alpha[i + 1]
-                for k in range(n):
-                    there[k] += here[k] * unknown[k]
-        return [math.log(v) if v > 0 else -745.0 for v in alpha[-1]]
+        """Log probability of one word in each language."""
+        return self._long(word) if len(word) >= LONG else self.forward([word])[0].tolist()
 
     def _long(self, word: str) -> list[float]:
         """The same, scaled at each place, for long words: values could leave the range of a double."""
@@ -166,28 +241,49 @@ class Model:
             fore[j] = top + np.log(np.exp(v - top).sum(0))
         return fore[-1].tolist()
 
-    def text(self, text: str) -> np.ndarray:
-        """Log likelihood of a text in each language."""
+    def _learn(self, new: list[str]) -> None:
+        """Adds words to the memory, a bounded number of characters at a time."""
+        short = [w for w in new if len(w) < LONG]
+        limit = max(1, FORWARD_CELLS // len(self.languages))
+        at, parts = 0, []
+        while at < len(short):
+            upto, chars = at, 0
+            while upto < len(short) and chars < limit:
+                chars += len(short[upto]) + 2
+                upto += 1
+            parts.append(self.forward(short[at:upto]))
+            at = upto
+        long = [w for w in new if len(w) >= LONG]
+        if long:
+            parts.append(np.array([self.word(w) for w in long]))
+        index, k = self._index, len(self._index)
+        while k + len(new) > len(self._logs):
+            self._logs = np.concatenate([self._logs, np.empty_like(self._logs)])
+        self._logs[k : k + len(new)] = np.concatenate(parts)
+        index.update(zip(short + long, range(k, k + len(new)), strict=True))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = [("und", 0.0)] * len(texts)
+        lettered = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        if not lettered:
+            return out
         if self._rows is None:
             self._start()
-        words = words_of(text)
+        words = [words_of(texts[i]) for i in lettered]
         if len(self._index) > REMEMBERED:
             self._forget()
         index = self._index
-        for w in set(words).difference(index):
-            k = len(index)
-            if k == len(self._logs):
-                self._logs = np.concatenate([self._logs, np.empty_like(self._logs)])
-            self._logs[k] = self.word(w)
-            index[w] = k
-        return self._logs[[index[w] for w in words]].sum(0) if words else np.zeros(len(self.languages))
+        new = set().union(*words).difference(index)
+        if new:
+            self._learn(list(new))
+        for i, own in zip(lettered, words, strict=True):
+            v = self._logs[[index[w] for w in own]].sum(0)
+            k = int(v.argmax())
+            out[i] = self.languages[k], float(1 / np.exp(v - v[k]).sum())
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
-            return "und", 0.0
-        v = self.text(text)
-        k = int(v.argmax())
-        return self.languages[k], float(1 / np.exp(v - v[k]).sum())
+        return self.predict_all([text])[0]
 
 
 def fit(rows: DataFrame, path: str | None = None) -> Model:
@@ -242,7 +338,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(1)]
+            texts = batch.column(1).to_pylist()
+            found: list[tuple[str, float]] = []
+            for a, b in text_slices(texts):
+                found += model.predict_all(texts[a:b])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), *batch.columns[2:]],
                 ["doc_id", "lang_pred", "score", *keep],

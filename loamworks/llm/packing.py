@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import _WORDS, WordBpe, _slices, vocabulary_path
-from .common import arrow_pass, staged, table, text_of
+from .bpe import _WORDS, WordBpe, vocabulary_path
+from .common import arrow_pass, staged, table, text_of, text_slices
 
 CAPACITY = 4096
 CLOSING_ID = 1
@@ -96,7 +96,7 @@ def pieces(rows: DataFrame, capacity: int, path: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             row, piece, start, length, crc, rank = [], [], [], [], [], []
-            for a, b in _slices(texts):
+            for a, b in text_slices(texts):
                 for r, own in enumerate(ids.ids_of(texts[a:b]), a):
                     own += closing
                     for k, s in enumerate(range(0, len(own), 4 * capacity)):
