@@ -37,7 +37,7 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/loamworks/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
