@@ -26,13 +26,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import _WORDS, WordBpe, vocabulary_path
+from .bpe import WordBpe, vocabulary_path
 from .common import arrow_pass, staged, table, text_of, text_slices
 
 CAPACITY = 4096
 CLOSING_ID = 1
 #: Chunks that a worker remembers; then it starts anew, with the same results.
-CHUNKS = 600_000
+CHUNKS = 1_000_000
+#: Characters of new chunks that go to the library at once; a longer chunk goes alone.
+LINE_CHARS = 16_384
 
 
 class ChunkIds(WordBpe):
@@ -45,7 +47,6 @@ class ChunkIds(WordBpe):
         super().__init__(path)
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def ids_of(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.pieces(t) for t in texts]
@@ -53,7 +54,6 @@ class ChunkIds(WordBpe):
         new = every.difference(self.known)
         if len(self.known) + len(new) > CHUNKS:
             self.known.clear()
-            self.words.clear()
             new = every
         self._learn_ids(new)
         known = self.known
@@ -61,24 +61,26 @@ class ChunkIds(WordBpe):
             yield b"".join([known[c] for c in own])
 
     def _learn_ids(self, new: set[str]) -> None:
-        """Words that several chunks share, such as one before different signs, are encoded once."""
-        words, plain, made = self.words, [], []
+        """New chunks go to the library in lines, parted by a special token that no chunk of a line holds."""
+        part = min(self.special, key=len)
+        mark = self.special[part]
+        plain = []
         for c in new:
             if "<|" in c and any(x in c for x in self.special):
                 # A special token, or its letters in another case, which the library would take for one.
                 self.learn({c})
                 self.known[c] = np.array(self.chunks[c][0].split(), "<u4").tobytes()
             else:
-                own = _WORDS.findall(c)
-                made.append((c, own))
-                for w in own:
-                    if w not in words:
-                        words[w] = b""
-                        plain.append(w)
-        for w, e in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False), strict=True):
-            words[w] = np.array(e.ids, "<u4").tobytes()
-        for c, own in made:
-            self.known[c] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
+                plain.append(c)
+        for a, b in text_slices(plain, LINE_CHARS):
+            line = self.library.encode_batch_fast([part.join(plain[a:b])], add_special_tokens=False)[0]
+            ids = np.array(line.ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == mark)).tolist()
+            if len(cuts) != b - a - 1:
+                raise RuntimeError(f"{b - a} chunks came back as {len(cuts) + 1}")
+            flat = ids.tobytes()
+            starts = [0, *[x + 4 for x in cuts]]
+            self.known.update(zip(plain[a:b], [flat[i:j] for i, j in zip(starts, [*cuts, len(flat)])], strict=True))
 
 
 _LOADED: dict[str, ChunkIds] = {}
