@@ -209,7 +209,8 @@ def pack(
     places = _places(pack_counts(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    ranked = cut.join(bases, ["part", "length"]).select(
+    # A row for each partition and length: too many for a broadcast as the input grows.
+    ranked = cut.join(bases.hint("shuffle_hash"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank")
     )
 
