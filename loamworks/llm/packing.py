@@ -86,13 +86,18 @@ class ChunkIds(WordBpe):
 _LOADED: dict[str, ChunkIds] = {}
 
 
+def encoder(path: str) -> ChunkIds:
+    """The encoder of this worker; a function that Spark ships gets a copy of the table, not the table itself."""
+    if path not in _LOADED:
+        _LOADED[path] = ChunkIds(path)
+    return _LOADED[path]
+
+
 def pieces(rows: DataFrame, capacity: int, path: str) -> DataFrame:
     """The pieces of rows (doc_id, text), with the partition and the rank among its pieces of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _LOADED:
-            _LOADED[path] = ChunkIds(path)
-        ids = _LOADED[path]
+        ids = encoder(path)
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         closing = CLOSING_ID.to_bytes(4, "little")
         for batch in batches:
