@@ -278,11 +278,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return inner.unionByName(arrow_pass(open_, close, f"doc_id {kind}, {FIELDS}"))
 
 
+def _drawn(p: np.ndarray, level: int, bands: int, per: int) -> np.ndarray:
+    """For each band, where in p its samples lie: the places that a seeded hash of level and band ranks first.
+
+    The places of a shorter text of the level are among those of a longer one, so a place that is drawn for
+    the longer text is drawn for both if both have it.
+    """
+    rng = np.random.default_rng((SEED, level))
+    seeds = rng.integers(0, 1 << 63, (bands, 1), np.uint64)
+    h = (p.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ seeds
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(by)
+    return np.argsort(h ^ (h >> np.uint64(31)), axis=1, kind="stable")[:, :per]
+
+
 def near_pairs(marks: DataFrame, least: float = 0.75, bands: int = 12, bits: int = 24) -> DataFrame:
     """(a, b, likeness) of near duplicates among marks (doc_id, fingerprint), by bit-sampled bands.
 
-    A band is `bits` bits of the samples at a few steps of the top level shared by texts of one length class
-    or the next. Rows that share a band meet its leader, the least id, so a large band gives as many pairs as
+    A band is `bits` bits of the samples at a few steps, drawn from the whole text, of the top level shared by
+    texts of one length class or the next. Rows that share a band meet its leader, the least id, so a large band gives as many pairs as
     it has rows; every pair is verified by its likeness.
     """
     per = bits // 8
@@ -296,8 +310,7 @@ def near_pairs(marks: DataFrame, least: float = 0.75, bands: int = 12, bits: int
                 for level in (own, own + 1):
                     p = places(n, level)
                     t = s if level == own else s[np.isin(places(n, own), p, assume_unique=True)]
-                    for k in range(bands):
-                        pick = np.arange(k, len(p), bands)[:per] if len(p) >= per * bands else np.arange(len(p))
+                    for k, pick in enumerate(_drawn(p, level, bands, per)):
                         key = f"{level}:{k}:{p[pick].tolist()}:{t[pick].tobytes().hex()}"
                         row.append(r)
                         band.append(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))

@@ -89,3 +89,23 @@ def test_near_pairs_finds_copies_and_near_copies(spark):
     marks = spark.createDataFrame([(i, fp.as_text(len(t), s)) for (i, t), s in zip(rows, fp.embed([t for _, t in rows]), strict=True)], "doc_id long, fingerprint string")
     got = {(p.a, p.b) for p in fp.near_pairs(marks, 0.4).collect()}
     assert (3, 100) in got and all(a % 97 == b % 97 for a, b in got)
+
+
+def marked(spark, rows):
+    """(doc_id, fingerprint) of rows (id, text), and the fingerprints parsed."""
+    samples = fp.embed([t for _, t in rows])
+    marks = [(i, fp.as_text(len(t), s)) for (i, t), s in zip(rows, samples, strict=True)]
+    return spark.createDataFrame(marks, "doc_id long, fingerprint string"), [(len(t), s) for (_, t), s in zip(rows, samples, strict=True)]
+
+
+def test_near_pairs_finds_edits_at_the_start_the_middle_and_the_end(spark):
+    r = random.Random(31)
+    word = lambda n: "".join(r.choice("etaoin shrdlu") for _ in range(n))
+    rows = []
+    for i in range(30):
+        base, at = word(20_000), (0, 9000, 17_000)[i % 3]
+        rows += [(2 * i, base), (2 * i + 1, base[:at] + word(3000) + base[at + 3000 :])]
+    marks, parsed = marked(spark, rows)
+    want = {(j, i) for i in range(len(rows)) for j in range(i) if fp.likeness(*parsed[i], *parsed[j]) >= 0.75}
+    assert {a // 2 % 3 for a, _ in want} == {0, 1, 2}
+    assert {(p.a, p.b) for p in fp.near_pairs(marks, 0.75).collect()} == want
