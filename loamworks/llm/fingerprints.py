@@ -12,7 +12,7 @@ bits of a hash of the last eight characters written. Sampled steps are nested:
 a longer text keeps a subset of the steps of a shorter one, hence any two
 fingerprints can be compared. It holds 128 to 256 samples for all but the
 shortest texts. ``near_pairs`` bands bit samples of fingerprints, and verifies
-the pairs that share a band against the leader of the band.
+all pairs of distinct fingerprints that share a band.
 
 Cases: a null text is empty; an empty text has an empty sample, likeness 1 to
 an empty one and 0 to others; rows of one id are ordered by their text, null
@@ -37,6 +37,8 @@ from .common import arrow_pass, staged, table, text_of
 BLOCK = 4096
 SAMPLES = 256
 SEED = 20
+#: Leaders of a band that one cell of ``near_pairs`` takes from each side, about.
+CELL = 1024
 _END = 255
 
 
@@ -296,40 +298,57 @@ def near_pairs(marks: DataFrame, least: float = 0.75, bands: int = 12, bits: int
     """(a, b, likeness) of near duplicates among marks (doc_id, fingerprint), by bit-sampled bands.
 
     A band is `bits` bits of the samples at a few steps, drawn from the whole text, of the top level shared by
-    texts of one length class or the next. Rows that share a band meet its leader, the least id, so a large band gives as many pairs as
-    it has rows; every pair is verified by its likeness.
+    texts of one length class or the next. Rows of equal fingerprints are one group, led by the least id: each
+    row meets its leader, whose other pairs are its own too. Leaders that share a band are all compared, each
+    pair once, in cells of about `CELL` leaders a side; every pair is verified by its likeness.
+
+    Rows that share id and fingerprint are one; a null id is greater than all others.
     """
     per = bits // 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, band = [], []
-            for r, f in enumerate(batch.column(1).to_pylist()):
+            found = []
+            for f in batch.column(1).to_pylist():
                 n, s = parsed(f)
-                own = level_of(n)
+                own, keys = level_of(n), set()
                 for level in (own, own + 1):
                     p = places(n, level)
                     t = s if level == own else s[np.isin(places(n, own), p, assume_unique=True)]
                     for k, pick in enumerate(_drawn(p, level, bands, per)):
                         key = f"{level}:{k}:{p[pick].tolist()}:{t[pick].tobytes().hex()}"
-                        row.append(r)
-                        band.append(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(band, pa.int64())], ["doc_id", "fingerprint", "band"])
+                        keys.add(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
+                found.append(sorted(keys))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["doc_id", "fingerprint", "bands"])
 
     kind = dict(marks.dtypes)["doc_id"]
-    banded = arrow_pass(marks.select("doc_id", "fingerprint"), run, f"doc_id {kind}, fingerprint string, band long").distinct()
-    lead = banded.groupBy("band").agg(F.min(F.struct("doc_id", "fingerprint")).alias("lead"))
-    pairs = banded.join(lead, "band").filter("lead.doc_id <> doc_id").select(
-        F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("lead.fingerprint").alias("fa"), F.col("fingerprint").alias("fb")
-    ).distinct()
+    rows = marks.select("doc_id", "fingerprint").distinct()
+    leads = staged(arrow_pass(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "fingerprint"), run, f"doc_id {kind}, fingerprint string, bands array<long>"))
+    copies = rows.join(leads.select(F.col("doc_id").alias("a"), "fingerprint"), "fingerprint").filter(~F.col("a").eqNullSafe(F.col("doc_id")))
+    copies = copies.select("a", F.col("doc_id").alias("b"), F.lit(1.0).alias("likeness"))
+
+    # A band of k leaders is cut into g parts: cell (i, j) holds the leaders of part i and of part j.
+    banded = leads.withColumn("band", F.explode("bands"))
+    parts = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("band", F.ceil(F.col("k") / CELL).cast("int").alias("g"))
+    parted = banded.join(parts, "band").withColumn("i", F.pmod(F.xxhash64("fingerprint"), "g").cast("int"))
+    cells = parted.withColumn("j", F.explode(F.expr("sequence(0, g - 1)")))
+    cells = cells.select("doc_id", "fingerprint", "bands", "band", "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    x, y = cells.alias("x"), cells.alias("y")
+    before = F.coalesce(F.col("x.doc_id") < F.col("y.doc_id"), F.col("x.doc_id").isNotNull() & F.col("y.doc_id").isNull())
+    before = before | (F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.fingerprint") < F.col("y.fingerprint")))
+    # Pairs of one part meet in its own cell alone, and pairs of several bands in the least band alone.
+    here = (F.col("x.i") != F.col("y.i")) | (F.col("x.lo") == F.col("x.hi"))
+    first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("band", "lo", "hi")]
+    pairs = x.join(y, [*same, before & here & first])
+    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.fingerprint").alias("fa"), F.col("y.fingerprint").alias("fb"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [likeness(*parsed(x), *parsed(y)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.float64())], ["a", "b", "likeness"])
 
-    return arrow_pass(pairs, verify, f"a {kind}, b {kind}, likeness double").filter(F.col("likeness") >= least)
+    return arrow_pass(pairs, verify, f"a {kind}, b {kind}, likeness double").unionByName(copies).filter(F.col("likeness") >= least)
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,3 +109,31 @@ def test_near_pairs_finds_edits_at_the_start_the_middle_and_the_end(spark):
     want = {(j, i) for i in range(len(rows)) for j in range(i) if fp.likeness(*parsed[i], *parsed[j]) >= 0.75}
     assert {a // 2 % 3 for a, _ in want} == {0, 1, 2}
     assert {(p.a, p.b) for p in fp.near_pairs(marks, 0.75).collect()} == want
+
+
+def test_near_pairs_beside_an_unlike_leader(spark, monkeypatch):
+    # Bands of one place of few values: an unrelated document of the least id leads many of them.
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("ab") for _ in range(n))
+    base = word(3000)
+    rows = [(0, word(3000))] + [(i, base[:1500] + "!" * i + base[1500:]) for i in range(1, 5)] + [(9, base[:1500] + "!" + base[1500:])]
+    samples = fp.embed([t for _, t in rows])
+    ids = [*(i for i, _ in rows), None, 1]
+    texts = [*(fp.as_text(len(t), s) for (_, t), s in zip(rows, samples, strict=True))]
+    # A null id with the text of 2, and the id 1 again with another text.
+    texts += [texts[2], texts[3]]
+    marks = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, fingerprint string")
+    leader = {}
+    for i, t in zip(ids, texts, strict=True):
+        if i is not None:
+            leader[t] = min(leader.get(t, i), i)
+    like = lambda x, y: fp.likeness(*fp.parsed(x), *fp.parsed(y))
+    order = sorted(leader, key=lambda t: (leader[t], t))
+    least = 0.05
+    want = [(leader[x], leader[y]) for k, x in enumerate(order) for y in order[k + 1 :] if like(x, y) >= least]
+    want += [(leader[t], i) for i, t in zip(ids, texts, strict=True) if i != leader[t]]
+    assert (2, None) in want and (1, 1) in want and (1, 2) in want
+    for cell in (fp.CELL, 2):
+        monkeypatch.setattr(fp, "CELL", cell)
+        got = [(p.a, p.b) for p in fp.near_pairs(marks, least, bands=64, bits=8).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want))
