@@ -2,7 +2,8 @@
 
 Spark counts the distinct words of the corpus; they are few against its
 occurrences. The merges themselves are a sequence of argmaxima: a driver loop
-with an incremental pair index learns them from the word counts. ``merge_step``
+with an incremental pair index learns them from the word counts; where the words
+are too many for the driver, rounds of exact pair counts in Spark do. ``first_merges``
 does one merge as a DataFrame operation, for checks against SQL.
 """
 
@@ -11,20 +12,25 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import uuid
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens, symbol_list, symbols
+from ..llm.common import stage_dir
 
 #: The reserved tokens, with ids from 0.
 SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
 VOCAB_SIZE = 16_000
 MIN_FREQUENCY = 2
-#: Distinct words that the driver takes; beyond it the rarest are left out, with a warning.
+#: Distinct words that the driver takes; beyond it all words stay in Spark.
 MOST_WORDS = 5_000_000
+#: Merges of a round in Spark, at most.
+ROUND = 64
 FLOOR = len(SPECIAL_TOKENS) + 256
 
 
@@ -201,15 +207,91 @@ def vocab_size_from_file(path: str) -> int:
     return Tokenizer.load(path).vocab_size()
 
 
+def certain_prefix(pairs: list[tuple[str, str, int]], symbols_known: set[str], whole: bool) -> int:
+    """How many of the most frequent pairs (l, r, c), in order, are the next merges in that order for certain.
+
+    A merge (a, b) changes the counts of (x, a), (b, y) and (a, b) alone, of every pair of a if a is b, and a
+    new pair (x, ab) or (ab, y) is at most as frequent as (x, a) or (b, y) was. So all pairs before the first
+    that meets an earlier one are certain if they are more frequent than it; a pair whose product is a
+    symbol already, or of equal sides, can be only the last. `whole` tells that no other pair is left out.
+    """
+    lefts: set[str] = set()
+    rights: set[str] = set()
+    made: set[str] = set()
+    for n, (a, b, _) in enumerate(pairs):
+        if b in lefts or a in rights:
+            break
+        if a == b or a + b in symbols_known or a + b in made:
+            # Its new pairs are bounded by pairs that need not be on the list: it must be the first, or stand alone.
+            return max(1, _above(pairs, n, pairs[n][2]))
+        lefts.add(a)
+        rights.add(b)
+        made.add(a + b)
+    else:
+        return len(pairs) if whole else max(1, _above(pairs, len(pairs), pairs[-1][2]))
+    return max(1, _above(pairs, n, pairs[n][2]))
+
+
+def _above(pairs: list[tuple[str, str, int]], n: int, c: int) -> int:
+    """How many of the first n pairs are more frequent than c."""
+    while n and pairs[n - 1][2] <= c:
+        n -= 1
+    return n
+
+
+def spark_merges(words: DataFrame, target: int, min_frequency: int = MIN_FREQUENCY) -> list[tuple[bytes, bytes]]:
+    """The same merges as ``learn_merges`` of words (w, n), all of which stay in Spark.
+
+    Each round counts the pairs of all words and takes the merges that are certain from the most frequent
+    ones; only these come to the driver.
+    """
+    spark = words.sparkSession
+    folder = f"{stage_dir(spark)}/loamworks/{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out: list[tuple[bytes, bytes]] = []
+    known = {f"{b:02X}" for b in range(256)}
+
+    def stage(df: DataFrame, k: int) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{k}")
+        return spark.read.schema("s string, n long").parquet(f"{folder}/{k}")
+
+    def drop(path: str) -> None:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    k = 0
+    try:
+        # Words of one byte have no pair, and never get one.
+        now = stage(words.select(symbols(F.col("w")).alias("s"), F.col("n").cast("long").alias("n")).filter(F.length("s") > 4), k)
+        while len(out) < target:
+            top = pair_counts(now).filter(F.col("c") >= min_frequency).orderBy(F.desc("c"), "l", "r").limit(ROUND + 1)
+            pairs = [(r.l, r.r, r.c) for r in top.collect()]
+            if not pairs:
+                break
+            take = min(certain_prefix(pairs, known, len(pairs) <= ROUND), target - len(out), ROUND)
+            merged = F.col("s")
+            for a, b, _ in pairs[:take]:
+                out.append((bytes.fromhex(a), bytes.fromhex(b)))
+                known.add(a + b)
+                merged = apply_merge(merged, a, b)
+            # A word of one symbol is done.
+            now = stage(now.select(merged.alias("s"), "n").filter(F.col("s").contains("><")), k + 1)
+            drop(f"{folder}/{k}")
+            k += 1
+    finally:
+        drop(folder)
+    return out
+
+
 def train(texts: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY, text: str = "text") -> Tokenizer:
-    """Learns a tokenizer of at most vocab_size tokens."""
+    """Learns a tokenizer of at most vocab_size tokens, from all words."""
     if vocab_size <= FLOOR:
         raise ValueError(f"vocab size {vocab_size} is too small: it must exceed {FLOOR}")
-    words = word_counts(texts, text).orderBy(F.desc("n"), "w").limit(MOST_WORDS + 1)
-    counts = {w.encode(): n for w, n in words.toPandas().itertuples(index=False)}
-    if len(counts) > MOST_WORDS:
-        import warnings
-
-        warnings.warn(f"more than {MOST_WORDS} distinct words: the rarest are left out", stacklevel=2)
-        counts.popitem()
+    words = word_counts(texts, text).persist(StorageLevel.DISK_ONLY)
+    try:
+        if words.count() > MOST_WORDS:
+            return Tokenizer(tuple(spark_merges(words, vocab_size - FLOOR, min_frequency)))
+        counts = {w.encode(): n for w, n in words.orderBy(F.desc("n"), "w").toPandas().itertuples(index=False)}
+    finally:
+        words.unpersist()
     return Tokenizer(tuple(learn_merges(counts, vocab_size - FLOOR, min_frequency)))

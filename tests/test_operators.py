@@ -150,3 +150,17 @@ def test_cli(spark, tmp_path, capsys, monkeypatch):
     with pytest.raises(ValueError):
         cli.main(["tokenizer", "--input", str(tmp_path / "empty.txt"), "--output", str(tmp_path / "no.json")])
     assert not (tmp_path / "no.json").exists()
+
+
+def test_training_beyond_the_words_of_the_driver_is_whole(spark, monkeypatch):
+    # "qz" occurs in rare words only, each once: together they outnumber every other pair.
+    rare = [f"qz{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    texts = ["the cat and the hat " * 9, "aaaaaaa aaaa abab ababab " * 3, *rare]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = {r.w.encode(): r.n for r in bpe.word_counts(df).collect()}
+    want = bpe.learn_merges(counts, 40)
+    assert want[0] == (b"q", b"z")
+    monkeypatch.setattr(bpe, "MOST_WORDS", 12)
+    for size in (64, 3):
+        monkeypatch.setattr(bpe, "ROUND", size)
+        assert bpe.train(df, bpe.FLOOR + 40).merges == tuple(want)
