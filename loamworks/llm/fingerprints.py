@@ -11,7 +11,8 @@ A fingerprint is the text's length and a sample of the steps, each with eight
 bits of a hash of the last eight characters written. Sampled steps are nested:
 a longer text keeps a subset of the steps of a shorter one, hence any two
 fingerprints can be compared. It holds 128 to 256 samples for all but the
-shortest texts. ``near_pairs`` bands bit samples of fingerprints, and verifies
+shortest texts, and one of each whole block for texts of over about a million
+characters; there a last block that ends before the step has none. ``near_pairs`` bands bit samples of fingerprints, and verifies
 all pairs of distinct fingerprints that share a band.
 
 Cases: a null text is empty; an empty text has an empty sample, likeness 1 to
@@ -36,6 +37,8 @@ from .common import arrow_pass, staged, table, text_of
 
 BLOCK = 4096
 SAMPLES = 256
+#: Characters of a text that are walked at a time.
+SLICE = 256 * BLOCK
 SEED = 20
 #: Leaders of a band that one cell of ``near_pairs`` takes from each side, about.
 CELL = 1024
@@ -81,19 +84,18 @@ def _blocks(n: int) -> list[int]:
 
 def level_of(n: int) -> int:
     total = (n // BLOCK) * STEPS + (steps_for(n % BLOCK) if n % BLOCK else 0)
-    return max(0, math.ceil(math.log2(total / SAMPLES))) if total else 0
+    return min(max(0, math.ceil(math.log2(total / SAMPLES))), _LEVELS) if total else 0
 
 
 def _kept(block: int, level: int) -> bool:
-    """Above the highest level of steps, whole blocks are left out."""
-    extra = level - _LEVELS
-    return extra <= 0 or ((block * 0x9E3779B97F4A7C15 >> 20) & ((1 << extra) - 1)) == 0
+    """Every block is walked and sampled, whatever the level: the highest one keeps a step of each."""
+    return True
 
 
 def places(n: int, level: int) -> np.ndarray:
     """The sampled steps of a text of n characters, as block * STEPS + step."""
-    own = walk().at_level[min(level, _LEVELS)]
-    out = [own[: np.searchsorted(own, steps_for(m))] + b * STEPS for b, m in enumerate(_blocks(n)) if _kept(b, level)]
+    own = walk().at_level[level]
+    out = [own[: np.searchsorted(own, steps_for(m))] + b * STEPS for b, m in enumerate(_blocks(n))]
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
@@ -104,19 +106,27 @@ def _classes(text: str) -> np.ndarray:
 
 
 def embed(texts: list[str]) -> list[np.ndarray]:
-    """The samples of every text at its own level, walked in lockstep."""
+    """The samples of every text at its own level; a very long text is walked in slices of whole blocks."""
+    levels = [level_of(len(t)) for t in texts]
+    out = _walked(["" if len(t) > SLICE else t for t in texts], levels)
+    for d, t in enumerate(texts):
+        if len(t) > SLICE:
+            out[d] = np.concatenate([_walked([t[a : a + SLICE]], [levels[d]])[0] for a in range(0, len(t), SLICE)])
+    return out
+
+
+def _walked(texts: list[str], levels_: list[int]) -> list[np.ndarray]:
+    """The samples of every text at the level given for it, walked in lockstep."""
     w = walk()
     parts, start, steps, level, doc = [], [], [], [], []
     at, end = 0, np.array([_END], np.uint8)
     for d, text in enumerate(texts):
-        c, own = _classes(text), level_of(len(text))
+        c = _classes(text)
         for b, m in enumerate(_blocks(len(text))):
-            if not _kept(b, own):
-                continue
             parts += [c[b * BLOCK : b * BLOCK + m], end]
             start.append(at)
             steps.append(steps_for(m))
-            level.append(min(own, _LEVELS))
+            level.append(levels_[d])
             doc.append(d)
             at += m + 1
     out = [np.zeros(0, np.uint8)] * len(texts)
@@ -312,7 +322,7 @@ def near_pairs(marks: DataFrame, least: float = 0.75, bands: int = 12, bits: int
             for f in batch.column(1).to_pylist():
                 n, s = parsed(f)
                 own, keys = level_of(n), set()
-                for level in (own, own + 1):
+                for level in range(own, min(own + 1, _LEVELS) + 1):
                     p = places(n, level)
                     t = s if level == own else s[np.isin(places(n, own), p, assume_unique=True)]
                     for k, pick in enumerate(_drawn(p, level, bands, per)):

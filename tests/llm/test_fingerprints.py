@@ -137,3 +137,17 @@ def test_near_pairs_beside_an_unlike_leader(spark, monkeypatch):
         monkeypatch.setattr(fp, "CELL", cell)
         got = [(p.a, p.b) for p in fp.near_pairs(marks, least, bands=64, bits=8).collect()]
         assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_no_block_of_a_very_long_text_is_left_out():
+    r = random.Random(12)
+    blocks = ["".join(r.choices("etaoin shrdlu", k=fp.BLOCK)) for _ in range(600)]
+    text = "".join(blocks) + "the end"
+    (own,) = fp.embed([text])
+    assert own.tolist() == plain(text)
+    assert len(own) == len(fp.places(len(text), fp.level_of(len(text)))) >= len(blocks)
+    for b in range(0, len(blocks), 100):
+        # Every second block, or three of four, were not read: all of ten in a row are replaced here, each must differ.
+        other = "".join([*blocks[:b], *("".join(r.choices("ETAOIN", k=fp.BLOCK)) for _ in range(10)), *blocks[b + 10 :]]) + "the end"
+        (new,) = fp.embed([other])
+        assert np.flatnonzero(own != new).tolist() == list(range(b, b + 10))
