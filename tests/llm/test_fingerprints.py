@@ -151,3 +151,15 @@ def test_no_block_of_a_very_long_text_is_left_out():
         other = "".join([*blocks[:b], *("".join(r.choices("ETAOIN", k=fp.BLOCK)) for _ in range(10)), *blocks[b + 10 :]]) + "the end"
         (new,) = fp.embed([other])
         assert np.flatnonzero(own != new).tolist() == list(range(b, b + 10))
+
+
+def test_near_pairs_on_the_fingerprints_of_documents(spark):
+    r = random.Random(14)
+    texts = ["".join(r.choice("etaoin shrdlu") for _ in range(r.randrange(200, 9000))) for _ in range(12)]
+    rows = [*enumerate(texts), *((20 + i, t[:-20] + "#" * 20) for i, t in enumerate(texts[:6])), (40, texts[2]), (41, None), (42, "")]
+    made = fp.fingerprints(spark.createDataFrame([(i, t, "", "") for i, t in rows], SCHEMA)).cache()
+    mark = {m.doc_id: fp.parsed(m.fingerprint) for m in made.collect()}
+    ids = sorted(mark)
+    want = {(a, b) for a in ids for b in ids if a < b and fp.likeness(*mark[a], *mark[b]) >= 0.75} - {(22, 40)}
+    assert {(2, 40), (41, 42), (2, 22)} <= want
+    assert {(p.a, p.b) for p in fp.near_pairs(made).collect()} == want
