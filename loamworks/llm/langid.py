@@ -19,7 +19,7 @@ are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ UNKNOWN = 1e-7
 REMEMBERED = 400_000
 #: From so many characters on, a word is scored in logarithms.
 LONG = 96
+#: A shorter word is scored in logarithms too where a language gives it less.
+LEAST_LOG = math.log(1e-290)
 #: Numbers that the forward algorithm holds at a time, about.
 FORWARD_CELLS = 400_000
 _LETTER = regex.compile(r"\p{L}")
@@ -85,24 +87,36 @@ def lattice(word: str, known: dict[str, int], longest: int) -> list[list[tuple[i
     return out
 
 
+def _ends(word: str, known: dict[str, int], longest: int) -> Callable[[int], list[tuple[int, int]]]:
+    """``lattice`` by place; that of a long word is not held, only one place at a time."""
+    if len(word) < LONG:
+        return lattice(word, known, longest).__getitem__
+    s = START + word
+
+    def at(j: int) -> list[tuple[int, int]]:
+        out = [(i, p) for i in range(max(0, j - longest), j) if (p := known.get(s[i:j])) is not None]
+        return out if s[j - 1] in known else [*out, (j - 1, -1)]
+
+    return at
+
+
 def _expected(word: str, prob: list[float], known: dict[str, int], longest: int) -> Iterator[tuple[int, float]]:
     """(piece, expected uses) in a word, by forward-backward in logarithms."""
-    ends = lattice(word, known, longest)
-    n = len(ends)
+    ends, n = _ends(word, known, longest), len(START + word) + 1
     fore = [0.0] * n  # logarithms
     for j in range(1, n):
-        v = [fore[i] + math.log(prob[p] if p >= 0 else UNKNOWN) for i, p in ends[j]]
+        v = [fore[i] + math.log(prob[p] if p >= 0 else UNKNOWN) for i, p in ends(j)]
         top = max(v)
         fore[j] = top + math.log(sum(math.exp(x - top) for x in v))
     back = [-math.inf] * n
     back[-1] = 0.0
     for j in range(n - 1, 0, -1):
-        for i, p in ends[j]:
+        for i, p in ends(j):
             v = back[j] + math.log(prob[p] if p >= 0 else UNKNOWN)
             a = back[i]
             back[i] = v if a == -math.inf else max(a, v) + math.log1p(math.exp(-abs(a - v)))
     for j in range(1, n):
-        for i, p in ends[j]:
+        for i, p in ends(j):
             if p >= 0:
                 yield p, math.exp(fore[i] + math.log(prob[p]) + back[j] - fore[-1])
 
@@ -225,18 +239,22 @@ class Model:
             more += alpha.take(to, axis=0, mode="clip")
             alpha[to] = more
         with np.errstate(divide="ignore"):
-            return np.maximum(np.log(alpha[node[first] + size]), -745.0)
+            out = np.log(alpha[node[first] + size])
+        # Products that left the range of a double, or came near its end, are taken in logarithms.
+        for i in np.flatnonzero((out < LEAST_LOG).any(1)).tolist():
+            out[i] = self._long(words[i])
+        return out
 
     def word(self, word: str) -> list[float]:
         """Log probability of one word in each language."""
         return self._long(word) if len(word) >= LONG else self.forward([word])[0].tolist()
 
     def _long(self, word: str) -> list[float]:
-        """The same, scaled at each place, for long words: values could leave the range of a double."""
-        ends = lattice(word, self.known, self.longest)
-        fore = np.zeros((len(ends), len(self.languages)))
-        for j in range(1, len(ends)):
-            v = np.array([fore[i] + np.log(self.prob[p] if p >= 0 else UNKNOWN) for i, p in ends[j]])
+        """The same, scaled at each place, for words whose values could leave the range of a double."""
+        ends, n = _ends(word, self.known, self.longest), len(START + word) + 1
+        fore = np.zeros((n, len(self.languages)))
+        for j in range(1, n):
+            v = np.array([fore[i] + np.log(self.prob[p] if p >= 0 else UNKNOWN) for i, p in ends(j)])
             top = v.max(0)
             fore[j] = top + np.log(np.exp(v - top).sum(0))
         return fore[-1].tolist()
@@ -301,7 +319,7 @@ def fit(rows: DataFrame, path: str | None = None) -> Model:
     )
     sample = rows.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(2)), F.lit(1 << 30)) < share)
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
-    words = words.filter("word <> '' AND length(word) <= 64").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     words = words.cache()
     start = _initial(pieces(path))
     prob = {x: start for x in languages}

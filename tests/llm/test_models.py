@@ -102,3 +102,35 @@ def test_quality(spark):
 @pytest.mark.parametrize("text", ["", " ", "\n\n", "a", "🎉"])
 def test_statistics_of_tiny_texts(text):
     assert np.isfinite(quality.statistics(text)).all()
+
+
+def test_language_without_spaces(spark):
+    r = random.Random(4)
+    own = {"aa": "eta", "zz": "ohi"}
+    text = lambda x: "".join(r.choice(own[x]) for _ in range(300))
+    rows = [(i, text(x), x, "s", 1, "", "") for i in range(20) for x in own]
+    df = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(df)
+    assert [model.predict(text(x))[0] for x in ("aa", "zz", "aa", "zz")] == ["aa", "zz", "aa", "zz"]
+
+
+def test_words_whose_product_underflows(monkeypatch):
+    known = {langid.START: 0, "a": 1, "b": 2}
+    prob = np.array([[0.5, 0.5], [0.1, 0.2], [0.4, 0.3]])
+    monkeypatch.setattr(langid, "pieces", lambda path: known)
+    m = langid.Model(["x", "y"], np.log(prob), "")
+    m._start()
+    for word in ("~" * 60 + "a" * 30, "~" * 41 + "a" * 3, "~" * 94 + "b", "ab~"):
+        for k in (0, 1):
+            whole = sum(math.log(prob[known[c], k]) if c in known else math.log(langid.UNKNOWN) for c in langid.START + word)
+            assert math.isclose(m.forward(["ab", word])[1][k], whole, rel_tol=1e-9)
+    assert m.predict("~" * 60 + "a" * 30)[0] == "y"
+
+
+def test_a_long_word_is_read_place_by_place():
+    names = [langid.START, langid.START + "a", "a", "b", "ab", "ba", "aba"]
+    known = {p: i for i, p in enumerate(names)}
+    r = random.Random(6)
+    word = "".join(r.choice("ab~") for _ in range(langid.LONG + 50))
+    whole, at = langid.lattice(word, known, 3), langid._ends(word, known, 3)
+    assert [at(j) for j in range(1, len(word) + 2)] == whole[1:]
