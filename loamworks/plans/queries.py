@@ -143,10 +143,14 @@ def chars_per_token(s: SparkSession, d: str) -> DataFrame:
 
 
 def round_trip(s: SparkSession, d: str) -> DataFrame:
-    """Through byte symbols and back, in the JVM."""
-    form = F.concat_ws("", F.transform(T.pretokens(F.col("text")), lambda w: T.symbols(w)))
-    back = F.decode(F.unhex(F.regexp_replace(form, "[<>]", "")), "UTF-8")
-    return _docs(s, d).select("doc_id", (back == F.col("text")).alias("same"))
+    """Through the ids of the first merges and back."""
+    from ..operators.codec import decode, encode
+
+    docs = _docs(s, d)
+    made = bpe.first_merges(docs, MERGES)
+    tokenizer = bpe.Tokenizer(tuple((bytes.fromhex(l), bytes.fromhex(r)) for l, r, _ in made))
+    back = decode(encode(docs, tokenizer), tokenizer)
+    return back.select("doc_id", (F.col("decoded") == F.col("text")).alias("same"))
 
 
 def report(s: SparkSession, d: str) -> DataFrame:
