@@ -6,11 +6,13 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..llm.common import BATCH_ROWS
 from .bpe import SPECIAL_TOKENS, Tokenizer
 
 LOW, HIGH = 3.0, 4.5
@@ -74,8 +76,10 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", into: str
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(tokenizer)
         for b in batches:
-            yield b.map(codec.encode, na_action="ignore")
+            yield b.map(lambda t: np.array(codec.encode(t), np.int32), na_action="ignore")
 
+    # Whole texts and their ids: a batch stays small.
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return docs.withColumn(into, run(text))
 
 
