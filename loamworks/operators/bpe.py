@@ -12,7 +12,6 @@ from __future__ import annotations
 import heapq
 import json
 import os
-import uuid
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens, symbol_list, symbols
-from ..llm.common import stage_dir
+from ..staging import delete, stage_path
 
 #: The reserved tokens, with ids from 0.
 SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
@@ -246,8 +245,7 @@ def spark_merges(words: DataFrame, target: int, min_frequency: int = MIN_FREQUEN
     ones; only these come to the driver.
     """
     spark = words.sparkSession
-    folder = f"{stage_dir(spark)}/loamworks/{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = stage_path(spark)
     out: list[tuple[bytes, bytes]] = []
     known = {f"{b:02X}" for b in range(256)}
 
@@ -255,10 +253,6 @@ def spark_merges(words: DataFrame, target: int, min_frequency: int = MIN_FREQUEN
         df.write.option("compression", "zstd").parquet(f"{folder}/{k}")
         return spark.read.schema("s string, n long").parquet(f"{folder}/{k}")
 
-    def drop(path: str) -> None:
-        at = hadoop(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
     k = 0
     try:
         # Words of one byte have no pair, and never get one.
@@ -276,10 +270,10 @@ def spark_merges(words: DataFrame, target: int, min_frequency: int = MIN_FREQUEN
                 merged = apply_merge(merged, a, b)
             # A word of one symbol is done.
             now = stage(now.select(merged.alias("s"), "n").filter(F.col("s").contains("><")), k + 1)
-            drop(f"{folder}/{k}")
+            delete(spark, f"{folder}/{k}")
             k += 1
     finally:
-        drop(folder)
+        delete(spark, folder)
     return out
 
 
