@@ -2,53 +2,45 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import drop_staged, staged
+
+__all__ = ["arrow_pass", "drop_staged", "fold_bucket", "join_hot", "row_key", "staged", "table", "text_of", "text_slices"]
+
 #: Rows an Arrow batch holds at most; texts are long, so batches stay small.
 BATCH_ROWS = 1024
+#: Rows of one key that a join sends to one task.
+HOT_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loamworks-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts the lineage, survives lost executors.
-
-    The shuffle files behind it are no longer needed; Spark drops them once the
-    driver has collected its garbage, which it is asked for here.
-    """
-    spark = df.sparkSession
-    path = f"{stage_dir(spark)}/loamworks/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def arrow_pass(
-    df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS
 ) -> DataFrame:
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """mapInArrow in batches of so many rows; texts need small ones, and the session's setting is read when the plan runs."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df.mapInArrow(f, schema)
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", together: int = HOT_ROWS) -> DataFrame:
+    """left joined with right, which has a key once; a key of more than so many rows of left is dealt to several tasks."""
+    many = left.groupBy(key).agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") > together)
+    many = many.select(key, F.ceil(F.col("__k") / together).cast("int").alias("__k"))
+    # Few keys are that frequent: at most one in so many rows.
+    deal = F.when(F.col("__k").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col("__k"))).otherwise(0).cast("int")
+    dealt = left.join(many, key, "left").withColumn("__deal", deal).drop("__k")
+    copies = right.join(many, key, "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1)))
+    return dealt.join(copies.drop("__k"), [key, "__deal"], how).drop("__deal")
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
