@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..staging import drop_staged, staged
 
-__all__ = ["arrow_pass", "drop_staged", "fold_bucket", "join_hot", "row_key", "staged", "table", "text_of", "text_slices"]
+__all__ = ["arrow_pass", "dealt_join", "drop_staged", "fold_bucket", "join_hot", "row_key", "staged", "table", "text_of", "text_slices"]
 
 #: Rows an Arrow batch holds at most; texts are long, so batches stay small.
 BATCH_ROWS = 1024
@@ -30,15 +30,20 @@ def arrow_pass(
     return df.mapInArrow(f, schema)
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", together: int = HOT_ROWS) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner", together: int | None = None) -> DataFrame:
     """left joined with right, which has a key once; a key of more than so many rows of left is dealt to several tasks."""
-    many = left.groupBy(key).agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") > together)
-    many = many.select(key, F.ceil(F.col("__k") / together).cast("int").alias("__k"))
-    # Few keys are that frequent: at most one in so many rows.
+    together = together or HOT_ROWS
+    keys = [key] if isinstance(key, str) else key
+    many = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") > together)
+    return dealt_join(left, right, keys, many.withColumn("__k", F.ceil(F.col("__k") / together).cast("int")), how)
+
+
+def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], many: DataFrame, how: str = "inner") -> DataFrame:
+    """The same, where many (keys, __k) names the frequent keys, few as they are, and the tasks that each is dealt to."""
     deal = F.when(F.col("__k").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col("__k"))).otherwise(0).cast("int")
-    dealt = left.join(many, key, "left").withColumn("__deal", deal).drop("__k")
-    copies = right.join(many, key, "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1)))
-    return dealt.join(copies.drop("__k"), [key, "__deal"], how).drop("__deal")
+    dealt = left.join(many, keys, "left").withColumn("__deal", deal).drop("__k")
+    copies = right.join(many, keys, "left").withColumn("__deal", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1)))
+    return dealt.join(copies.drop("__k"), [*keys, "__deal"], how).drop("__deal")
 
 
 def text_of(name: str = "text") -> Column:

@@ -7,6 +7,10 @@ its anchor, a function of the window's words alone, hence windows with equal
 words have equal anchors. Neighbouring windows mostly share an anchor; such a
 run (at most 28 windows) is one row, with a hash of the whole run.
 
+Equal runs of one document are one row with all its places, so a line that a
+document repeats many times is shuffled once. Anchors and runs of very many
+documents are dealt to several tasks.
+
 1. Anchors are counted; an anchor that occurs once rules its run out.
 2. Runs that are equal as a whole are repeated in all their windows.
 3. Where an anchor has runs that differ (the rims of passages), the windows of
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import arrow_pass, row_key, staged, table, text_of
+from .common import HOT_ROWS, arrow_pass, dealt_join, join_hot, row_key, staged, table, text_of
 
 WIDTH = 35
 GRAM = 8
@@ -64,7 +68,7 @@ def _runs(buf: np.ndarray, offs: np.ndarray, width: int, gram: int) -> tuple[np.
 
 
 def anchors(docs: DataFrame, width: int, gram: int, only: bool) -> DataFrame:
-    """Runs of the rows of docs (key, text): the anchors only, or all their columns."""
+    """Runs of the rows of docs (key, text), equal ones of a row as one with its places: the anchors only, or all columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,13 +77,22 @@ def anchors(docs: DataFrame, width: int, gram: int, only: bool) -> DataFrame:
             for i, j in K.slices(offs):
                 part = buf[offs[i] : offs[j]]
                 anchor, whole, row, at, more = _runs(part, offs[i : j + 1] - offs[i], width, gram)
+                order = np.lexsort((anchor, row)) if only else np.lexsort((at, whole, anchor, row))
+                anchor, whole, row = anchor[order], whole[order], row[order]
+                new = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+                if not only:
+                    new |= whole[1:] != whole[:-1]
+                edge = np.r_[0, np.flatnonzero(new) + 1, len(row)] if len(row) else np.zeros(1, np.int64)
+                n = pa.array(np.diff(edge).astype(np.int64))
+                head = edge[:-1]
                 if only:
-                    yield pa.RecordBatch.from_arrays([K.signed(anchor)], ["anchor"])
+                    yield pa.RecordBatch.from_arrays([K.signed(anchor[head]), n], ["anchor", "n"])
                 else:
-                    cols = [K.signed(anchor), K.signed(whole), pa.array(keys[i:j][row]), pa.array(at * 64 + more)]
-                    yield pa.RecordBatch.from_arrays(cols, ["anchor", "whole", "key", "place"])
+                    places = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array((at * 64 + more)[order]))
+                    cols = [K.signed(anchor[head]), K.signed(whole[head]), pa.array(keys[i:j][row[head]]), n, places]
+                    yield pa.RecordBatch.from_arrays(cols, ["anchor", "whole", "key", "n", "places"])
 
-    schema = "anchor long" if only else "anchor long, whole long, key long, place long"
+    schema = "anchor long, n long" if only else "anchor long, whole long, key long, n long, places array<long>"
     return arrow_pass(docs, run, schema)
 
 
@@ -111,22 +124,24 @@ def _rims(docs: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_places(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """(key, place) of all repeated windows of docs (key, text); place is 64 * first window + windows more."""
-    often = anchors(docs, width, gram, True).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    runs = staged(anchors(docs, width, gram, False).join(often.select("anchor"), "anchor"))
+    """(key, places) of all repeated windows of docs (key, text); a place is 64 * first window + windows more."""
+    counts = anchors(docs, width, gram, True).groupBy("anchor").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    often = staged(counts.filter("n > 1"))
+    # Anchors of very many rows are dealt to several tasks; at most one in HOT_ROWS rows is such.
+    hot = staged(often.filter(F.col("rows") > HOT_ROWS // 10).select("anchor", F.ceil(F.col("rows") / (HOT_ROWS // 10)).cast("int").alias("__k")))
+    runs = staged(dealt_join(anchors(docs, width, gram, False), often.select("anchor"), ["anchor"], hot))
     kinds = staged(
-        runs.groupBy("anchor", "whole").agg(
-            F.count(F.lit(1)).alias("n"), F.first("key").alias("key"), F.first("place").alias("place")
-        )
-    )
+        runs.groupBy("anchor", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("key", F.col("places")[0].alias("place"))).alias("one"))
+        .select("anchor", "whole", "n", "one.key", "one.place")
+    )
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
-    rims = kinds.join(mixed, "anchor").groupBy("key")
+    rims = join_hot(kinds, mixed, "anchor", together=HOT_ROWS // 10).groupBy("key")
     rims = rims.agg(F.collect_set(F.expr("2 * place + IF(n > 1, 1, 0)")).alias("items"))
     windows = staged(_rims(docs.join(rims, "key").select("key", "text", "items"), width))
     twice = windows.groupBy("window").agg(F.sum("weight").alias("w")).filter("w > 1").select("window")
-    by_window = windows.filter("weight = 1").join(twice, "window").select("key", "place")
-    by_run = runs.join(kinds.filter("n > 1").select("anchor", "whole"), ["anchor", "whole"]).select("key", "place")
-    return by_run.unionByName(by_window)
+    by_window = windows.filter("weight = 1").join(twice, "window").select("key", F.array("place").alias("places"))
+    by_run = join_hot(runs, kinds.filter("n > 1").select("anchor", "whole"), ["anchor", "whole"], together=HOT_ROWS // 10)
+    return by_run.select("key", "places").unionByName(by_window)
 
 
 def _covered(n: int, places: np.ndarray, width: int) -> np.ndarray:
@@ -142,7 +157,7 @@ def remove_repeats(
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept (text) and spans (removed words [from, upto)); the columns of keep follow."""
     rows = docs.select(row_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    flags = repeated_places(rows, width).groupBy("key").agg(F.collect_set("place").alias("places"))
+    flags = repeated_places(rows, width).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     own = docs.select(
         F.col(id_col).alias("__row_id"), text_of(text_col).alias("__row_text"), row_key(id_col, text_col).alias("__row_key"), *keep
     )
