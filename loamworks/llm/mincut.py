@@ -1,39 +1,62 @@
 """Main text of web pages by minimum-cut labelling (operator 5).
 
-A page is cut into blocks of text. A classifier gives each block the cost of
-calling it content and the cost of calling it boilerplate, from its ancestors,
-their class and id words, link density, length and sentence marks. The costs
-become capacities to the two terminals; neighbours on the page, and successive
-blocks of one parent, are tied by smoothness edges that weaken with their
-distance in the tree. The minimum cut, found by maximum flow, is the labelling
-of least total cost.
+A page is cut into blocks of text. A linear classifier gives each block its
+log-odds of being content, from its own text (length, links, sentence marks),
+its element, the elements around it and the words of their class and id names.
+The log-odds become capacities to the two terminals; neighbours on the page,
+and successive blocks of one parent, are tied by smoothness edges that weaken
+with their distance in the tree. The minimum cut, found by maximum flow, is
+the labelling of least total cost.
+
+Fit. Nothing in a page tells its true labels, so classifier and cut are fitted
+in turns, as in iterated graph cuts: the cut labels the blocks of a bounded
+sample of pages (``SAMPLE_PAGES`` of at most ``SAMPLE_CHARS`` characters), a
+logistic regression learns from these labels, and the next cut uses it. Its
+prior means are ``PRIOR``: the meaning that HTML gives to its elements, and
+usual class names. Any other class word starts at nothing and gets its weight
+from the sample.
 
 Cases: a null or empty page gives an empty text; what is not markup is text;
-unclosed and stray tags are tolerated; a page of any length is read whole;
-repeated rows have equal results; an empty table gives an empty result; other
-columns are ignored.
+unclosed and stray tags are tolerated, and quotes matter only after an equals
+sign; a tag that never ends takes the rest of the page, as in browsers; a page
+of any length is read whole, in time proportional to it; where the two sides
+cost the same a block is boilerplate; repeated rows have equal results; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_pass, table, text_of
 
-SMOOTH = 0.9
+#: Tie of neighbours with one parent, in units of log-odds; halved for each further step in the tree.
+SMOOTH = 2.0
 SCALE = 1000
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: Log-odds are kept within these bounds, so that ties can still matter.
+BOUND = 8.0
+#: The sample of the fit, the turns of cut and regression, and the precision of the prior.
+SAMPLE_PAGES = 512
+SAMPLE_CHARS = 200_000
+TURNS = 2
+PRECISION = 5.0
+#: Blocks of the sample that name a class word before it is a feature, and features at most.
+WORD_BLOCKS = 8
+MOST_WORDS = 256
+
+_RAW = frozenset("script style noscript template textarea title svg iframe".split())
+#: An equals sign may be followed by a quoted value; any other quote is a character like others.
+_TAG = re.compile(r"<(?:(!--)|([!?]|/(?![a-zA-Z]))|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(>|\Z))", re.S)
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in _RAW}
 _NAMED = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -47,51 +70,66 @@ _BLOCK = frozenset(
 _ENDS = {"p": "p", "li": "li", "dt": "d", "dd": "d", "td": "c", "th": "c", "tr": "r", "option": "o"}
 _BAD_TAGS = frozenset("head nav footer aside form button select menu dialog fieldset legend option".split())
 _GOOD_TAGS = frozenset("article main".split())
-_BAD_WORDS = frozenset(
+_WALLS = frozenset("article main body".split())
+_BAD_WORDS = (
     "ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner sidebar comment comments respond"
     " reply replies disqus notice notices cookie cookies consent alert popup modal overlay newsletter subscribe signup"
     " login share sharing social related recommended recommendations menu nav navbar navigation breadcrumb breadcrumbs"
     " pagination pager footer masthead toolbar widget search form copyright legal disclaimer tags complementary"
     " contentinfo hidden".split()
 )
-_GOOD_WORDS = frozenset("article content main post entry story body text page".split())
+_GOOD_WORDS = "article content main post entry story body text page".split()
+#: Prior means of the weights.
+PRIOR = {
+    "bias": -1.0, "density": -4.0, "length": 1.0, "sentences": 0.5, "plain": -0.8,
+    "is:text": 1.0, "is:heading": 0.8, "is:cell": -1.0, "is:other": -0.4,
+    "in:good": 4.5, "in:bad": -6.0, "in:both": -3.0,
+} | {f"word:{w}": -6.0 for w in _BAD_WORDS} | {f"word:{w}": 1.5 for w in _GOOD_WORDS}
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
 class Block:
-    __slots__ = ("good", "bad", "links", "parent", "path", "tag", "text")
+    __slots__ = ("apart", "depth", "good", "bad", "links", "parent", "tag", "text", "words")
 
 
-def _words(attributes: str) -> set[str]:
+def _words(attributes: str) -> frozenset[str]:
     out: set[str] = set()
     for m in _NAMED.finditer(attributes):
         out.update(_PART.findall((m[2] or m[3] or m[4] or "").lower()))
     if _HIDDEN.search(attributes):
         out.add("hidden")
-    return out
+    return frozenset(out)
+
+
+_NONE: frozenset[str] = frozenset()
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in its order."""
     out: list[Block] = []
-    # Open elements: tag, number, good and bad evidence from the root down to it.
-    stack: list[tuple[str, int, float, float]] = [("", 0, 0.0, 0.0)]
+    # Open elements: tag, number, words around it, within content and boilerplate elements, block depth.
+    stack: list[tuple[str, int, frozenset[str], bool, bool, int]] = [("", 0, _NONE, False, False, 0)]
+    opened: dict[str, list[int]] = {}  # where in the stack each tag is open
+    solid = [0]  # where its block elements are
+    walls = [0]
     number = 1
     text: list[str] = []
     links = 0
     in_link = 0
+    lowest = 0  # the least block depth since the last block of text
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, lowest
         if text:
             joined = " ".join("".join(text).split())
             if joined:
                 b = Block()
-                b.text, b.links = joined, links
-                b.path = tuple(x[1] for x in stack if x[0] in _BLOCK or not x[0])
-                b.parent = b.path[-1] if len(b.path) < 2 or stack[-1][0] != "p" else b.path[-2]
-                b.tag = next((x[0] for x in reversed(stack) if x[0] in _BLOCK), "")
-                b.good, b.bad = stack[-1][2], stack[-1][3]
+                own = stack[solid[-1]]
+                b.text, b.links, b.tag, b.depth = joined, links, own[0], own[5]
+                b.parent = stack[solid[-2]][1] if own[0] == "p" and len(solid) > 1 else own[1]
+                b.words, b.good, b.bad = stack[-1][2:5]
+                b.apart = (out[-1].depth - lowest) + (b.depth - lowest) if out else 0
+                lowest = b.depth
                 out.append(b)
             text.clear()
         links = 0
@@ -104,14 +142,36 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 links += len(s.strip())
 
+    def cut(k: int) -> None:
+        nonlocal lowest
+        while len(stack) > k:
+            tag = stack.pop()[0]
+            opened[tag].pop()
+            if solid[-1] == len(stack):
+                solid.pop()
+            if walls[-1] == len(stack):
+                walls.pop()
+        lowest = min(lowest, stack[solid[-1]][5])
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    while (m := _TAG.search(page, at)) is not None:
         add(page[at : m.start()])
         at = m.end()
-        tag = m[3]
-        if tag is None:
+        if m[1]:
+            end = page.find("-->", m.start() + 2)
+            at = len(page) if end < 0 else end + 3
+            continue
+        if m[2]:
+            end = page.find(">", at)
+            at = len(page) if end < 0 else end + 1
+            continue
+        if not m[6]:
+            break  # a tag that never ends
+        tag = m[4].lower()
+        if tag in _RAW and not m[3]:
+            end_ = _RAW_END[tag].search(page, at)
+            at = len(page) if end_ is None else end_.end()
             continue
-        tag = tag.lower()
         if tag == "br":
             text.append(" ")
             continue
@@ -119,68 +179,76 @@ def blocks(page: str) -> list[Block]:
             flush()
         if tag in _VOID:
             continue
-        if m[2]:
+        if m[3]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("article", "main", "body") and tag not in ("body", "html"):
-                    break
+            k = opened[tag][-1] if opened.get(tag) else 0
+            if k and (k >= walls[-1] or tag in ("body", "html")):
+                cut(k)
             continue
         if tag in _BLOCK:
             # An open paragraph ends at any block, with the inline elements that it left open.
-            group = _ENDS.get(tag)
-            for k in range(len(stack) - 1, 0, -1):
-                own = stack[k][0]
-                if own == "p" or group and _ENDS.get(own) == group:
-                    del stack[k:]
-                    break
-                if own in _BLOCK:
-                    break
+            own, group = stack[solid[-1]][0], _ENDS.get(tag)
+            if own == "p" or group and _ENDS.get(own) == group:
+                cut(solid[-1])
             in_link = 0
         if tag == "a":
             in_link += 1
-        good, bad = stack[-1][2:]
-        words = _words(m[4])
-        if tag in _GOOD_TAGS:
-            good += 3.0
-        if tag in _BAD_TAGS or tag == "header" and not good:
-            bad += 6.0
-        if words:
-            if words & _BAD_WORDS:
-                bad += 6.0
-            elif words & _GOOD_WORDS:
-                good += 1.5
-        if not m[4].rstrip().endswith("/"):
-            stack.append((tag, number, good, bad))
+        _, _, words, good, bad, depth = stack[-1]
+        if m[5]:
+            new = _words(m[5])
+            if not new <= words:
+                words = words | new
+        good = good or tag in _GOOD_TAGS
+        bad = bad or tag in _BAD_TAGS or tag == "header" and not good
+        if not m[5].rstrip().endswith("/"):
+            k = len(stack)
+            opened.setdefault(tag, []).append(k)
+            if tag in _BLOCK:
+                solid.append(k)
+                depth += 1
+            if tag in _WALLS:
+                walls.append(k)
+            stack.append((tag, number, words, good, bad, depth))
             number += 1
-    add(page[at:])
+    else:
+        add(page[at:])
     flush()
     return out
 
 
-def costs(b: Block) -> tuple[float, float]:
-    """The costs of labelling a block content, and boilerplate."""
+def features(b: Block) -> list[tuple[str, float]]:
+    """What the classifier sees of a block: names and values."""
     n = len(b.text)
     density = min(1.0, b.links / n)
-    content = b.bad + 4.0 * density
-    boilerplate = b.good + min(2.5, n / 80) * (1 - density)
     sentences = len(_SENTENCE.findall(b.text))
-    boilerplate += min(1.5, 0.5 * sentences)
     if b.tag in ("p", "blockquote", "pre"):
-        boilerplate += 1.0
+        kind = "is:text"
     elif b.tag[:1] == "h" and b.tag[1:].isdigit():
-        boilerplate += 0.8
-    elif not b.good:
-        content += 1.2 + (0.8 if b.tag in ("li", "td", "th") else 0.0)
-    if not b.good and not sentences:
-        content += 1.0
-    if b.good and b.bad:
-        # Boilerplate inside the article: the nearer mark wins.
-        boilerplate *= 0.4
-    return content, boilerplate
+        kind = "is:heading"
+    else:
+        kind = "is:cell" if b.tag in ("li", "td", "th") else "is:other"
+    out = [("bias", 1.0), ("density", density), ("length", min(2.5, n / 80) * (1 - density)), ("sentences", float(min(3, sentences))), (kind, 1.0)]
+    if not sentences:
+        out.append(("plain", 1.0))
+    if b.good:
+        out.append(("in:good", 1.0))
+    if b.bad:
+        out.append(("in:both" if b.good else "in:bad", 1.0))
+    out += [(f"word:{w}", 1.0) for w in sorted(b.words)]
+    return out
+
+
+def log_odds(found: list[tuple[str, float]], weights: dict[str, float]) -> float:
+    """Of content against boilerplate; of several class words for one side the strongest counts."""
+    total, high, low = 0.0, 0.0, 0.0
+    for name, value in found:
+        w = weights.get(name, 0.0)
+        if name.startswith("word:"):
+            high, low = max(high, w), min(low, w)
+        else:
+            total += w * value
+    return max(-BOUND, min(BOUND, total + high + low))
 
 
 def edges(own: list[Block]) -> list[tuple[int, int, float]]:
@@ -189,13 +257,7 @@ def edges(own: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[int, int] = {}
     for i, b in enumerate(own):
         if i:
-            p, q = own[i - 1].path, b.path
-            common = 0
-            for x, y in zip(p, q, strict=False):
-                if x != y:
-                    break
-                common += 1
-            out.append((i - 1, i, SMOOTH * 0.5 ** max(0, len(p) + len(q) - 2 * common - 2)))
+            out.append((i - 1, i, SMOOTH * 0.5 ** min(60, max(0, b.apart - 2))))
         j = last.get(b.parent)
         if j is not None and j < i - 1:
             out.append((j, i, SMOOTH * 0.5))
@@ -273,22 +335,77 @@ def minimum_cut(terminal: list[tuple[float, float]], ties: list[tuple[int, int,
                 turn[a] += 1
 
 
-def main_text(page: str) -> str:
+def labelled(own: list[list[tuple[str, float]]], ties: list[tuple[int, int, float]], weights: dict[str, float]) -> list[bool]:
+    """Which blocks, known by their features, the minimum cut calls content."""
+    odds = [log_odds(x, weights) for x in own]
+    return minimum_cut([(max(x, 0.0), max(-x, 0.0)) for x in odds], ties)
+
+
+def regression(rows: list[list[tuple[str, float]]], labels: list[bool]) -> dict[str, float]:
+    """Logistic regression of the labels, with means PRIOR and the precision PRECISION."""
+    names = sorted({n for r in rows for n, _ in r if not n.startswith("word:")} | {n for r in rows for n, _ in r if n in PRIOR})
+    words = Counter(n for r in rows for n, _ in r if n not in PRIOR and n.startswith("word:"))
+    names += sorted(n for n, k in words.most_common(MOST_WORDS) if k >= WORD_BLOCKS)
+    at = {n: i for i, n in enumerate(names)}
+    x = np.zeros((len(rows), len(names)))
+    for i, r in enumerate(rows):
+        for n, v in r:
+            if n in at:
+                x[i, at[n]] = v
+    y = np.array(labels, float)
+    mean = np.array([PRIOR.get(n, 0.0) for n in names])
+    w = mean.copy()
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (y - p) - PRECISION * (w - mean)
+        bend = (x * (p * (1 - p))[:, None]).T @ x + PRECISION * np.eye(len(names))
+        step = np.linalg.solve(bend, slope)
+        w += step
+        if np.abs(step).max() < 1e-9:
+            break
+    return dict(PRIOR) | {n: float(v) for n, v in zip(names, w, strict=True)}
+
+
+def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
+    """The weights that a bounded sample of pages gives; the prior where there are none."""
+    own = pages.select(text_of(html_col).alias("html"))
+    total = own.count()
+    share = min(1.0, SAMPLE_PAGES / max(total, 1))
+    drawn = F.pmod(F.xxhash64("html", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = own.filter(drawn & (F.length("html") <= SAMPLE_CHARS)).limit(2 * SAMPLE_PAGES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for page in batch.column(0).to_pylist():
+                found = blocks(page)
+                out.append(json.dumps([[features(b) for b in found], edges(found)]))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["page"])
+
+    # At most 2 * SAMPLE_PAGES pages of SAMPLE_CHARS characters, without their texts. In an order of their own.
+    known = [json.loads(x) for x in sorted(r.page for r in arrow_pass(sample, run, "page string").collect())]
+    weights = dict(PRIOR)
+    rows = [[(n, v) for n, v in b] for own_, _ in known for b in own_]
+    for _ in range(TURNS if rows else 0):
+        labels = [keep for own_, ties in known for keep in labelled(own_, ties, weights)]
+        weights = regression(rows, labels)
+    return weights
+
+
+def main_text(page: str, weights: dict[str, float] = PRIOR) -> str:
     own = blocks(page)
-    if not own:
-        return ""
-    both = [costs(b) for b in own]
-    content = minimum_cut([(boilerplate, c) for c, boilerplate in both], edges(own))
+    content = labelled([features(b) for b in own], edges(own), weights) if own else []
     return "\n".join(b.text for b, keep in zip(own, content, strict=True) if keep)
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns of keep, text and n_chars of every page."""
+    weights = fit(pages, html_col)
     narrow = pages.select(text_of(html_col).alias("__html"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(x.as_py()) for x in batch.column(0)]
+            found = [main_text(x.as_py(), weights) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())], [*keep, "text", "n_chars"]
             )
