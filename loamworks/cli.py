@@ -12,7 +12,7 @@ from .operators.bpe import MIN_FREQUENCY, VOCAB_SIZE, train, vocab_size_from_fil
 from .operators.config import SIZES, load_model_config, read_env
 from .operators.progress import Progress, format_bytes
 from .operators.sample import read_sample
-from .sources.files import LocalSource, RemoteSource, folder_lister, folder_transport
+from .sources.files import LocalSource, RemoteSource, folder_lister, folder_sizer, folder_transport
 from .sources.scan import records
 
 log = logging.getLogger("loamworks")
@@ -68,6 +68,7 @@ def remote_source(a: argparse.Namespace) -> RemoteSource:
     return RemoteSource(
         a.hf_repo, a.hf_revision, tuple(a.hf_file), a.cache_dir,
         folder_lister(mirror) if mirror else None, folder_transport(mirror) if mirror else None,
+        folder_sizer(mirror) if mirror else None,
     )
 
 

@@ -84,12 +84,12 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", into: str
 
 
 def decode(docs: DataFrame, tokenizer: Tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """By a lookup in the vocabulary, in the JVM: hex of the tokens joined, then UTF-8."""
+    """By a lookup in the vocabulary, in the JVM: hex of the tokens joined, then UTF-8; U+FFFD for what is none."""
     table = F.array(*(F.lit(t.hex()) for t in tokenizer.tokens()))
     joined = F.array_join(F.transform(F.col(ids), lambda i: F.element_at(F.col("__table"), i + 1)), "")
     # The table is one literal row, not one column of literals in each row's plan.
     row = docs.sparkSession.range(1).select(table.alias("__table"))
-    return docs.crossJoin(F.broadcast(row)).withColumn(into, F.decode(F.unhex(joined), "UTF-8")).drop("__table")
+    return docs.crossJoin(F.broadcast(row)).withColumn(into, F.make_valid_utf8(F.unhex(joined).cast("string"))).drop("__table")
 
 
 def round_trips(codec: Codec, text: str) -> bool:

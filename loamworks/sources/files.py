@@ -64,6 +64,8 @@ class Reporter:
 
 Lister = Callable[[str, str], list[str]]
 Transport = Callable[[str, str, str, Path, Callable[[int], None]], None]
+#: Bytes of a file before it is fetched; 0 if nobody knows.
+Sizer = Callable[[str, str, str], int]
 
 
 def folder_lister(root: str | Path) -> Lister:
@@ -85,6 +87,10 @@ def folder_transport(root: str | Path) -> Transport:
     return copy
 
 
+def folder_sizer(root: str | Path) -> Sizer:
+    return lambda repo, revision, name: Path(root, repo, revision, name).stat().st_size
+
+
 @dataclass(frozen=True)
 class RemoteSource:
     """A dataset at a pinned revision; files empty means all its shards."""
@@ -95,6 +101,7 @@ class RemoteSource:
     cache_dir: str | None = None
     lister: Lister | None = field(default=None, compare=False)
     transport: Transport | None = field(default=None, compare=False)
+    sizer: Sizer | None = field(default=None, compare=False)
 
     def cache_location(self) -> Path:
         return Path(self.cache_dir or os.environ.get("LOAMWORKS_CACHE") or Path.home() / ".cache" / "loamworks")
@@ -134,7 +141,7 @@ class RemoteSource:
                 continue
             to.parent.mkdir(parents=True, exist_ok=True)
             part = to.with_name(to.name + ".part")
-            reporter.started(n, len(names), 0)
+            reporter.started(n, len(names), self.sizer(self.repo, self.revision, n) if self.sizer else 0)
             self.transport(self.repo, self.revision, n, part, reporter.advanced)
             shutil.move(part, to)
             reporter.finished(n)

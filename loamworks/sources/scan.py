@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import gzip
 import json
+import os
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 import pyarrow as pa
@@ -45,26 +48,50 @@ def _hidden(spark: SparkSession, paths: list[tuple[int, str]]) -> DataFrame:
     return made.select("file_ord", "pos", F.col("raw").cast("string").alias("value"))
 
 
+_SCHEME = "[a-zA-Z][a-zA-Z0-9+.-]*:"
+
+
+def _location(path: str) -> str:
+    """A path of this machine or of another file system, without scheme and host; relative paths made absolute."""
+    found = re.match(_SCHEME + r"(?://[^/]*)?(/.*)", path, re.S)
+    return found[1] if found else os.path.abspath(path)
+
+
+def _uris(paths: list[str], listed: list[str]) -> list[tuple[int, str]]:
+    """(position in paths, URI as Spark names the file) of every file that is there."""
+    by_place: dict[str, list[str]] = {}
+    for uri in listed:
+        by_place.setdefault(unquote(urlsplit(uri).path), []).append(uri)
+    out = []
+    for i, p in enumerate(paths):
+        found = by_place.get(_location(p), [])
+        # Two file systems may have a file of one path: then the one named.
+        out += [(i, u) for u in found if len(found) == 1 or unquote(u).startswith(p.split("/", 3)[0])]
+    return out
+
+
 def lines(spark: SparkSession, paths: list[str], skip_corrupt: bool = True) -> DataFrame:
     """Lines of files in order of (file_ord, pos): ends at \\n, one \\r before it dropped.
 
     Gzip is undone, also of several members. Lines that are no UTF-8 are dropped; of a broken file the readable
-    part is kept, and a missing one is skipped.
+    part is kept, and a missing one is skipped. A path given twice is read once, at its first position.
     """
-    hidden = [(i, p) for i, p in enumerate(paths) if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
-    plain = [(i, p) for i, p in enumerate(paths) if (i, p) not in hidden]
+    paths_ = list(dict.fromkeys(paths))
+    at = {p: paths.index(p) for p in paths_}
+    hidden = [(at[p], p) for p in paths_ if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
+    plain = [p for p in paths_ if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
     out = None
     if plain:
         flag = str(skip_corrupt).lower()
         read = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", flag).option("ignoreMissingFiles", flag)
-        order = spark.createDataFrame([(i, p.rsplit("/", 1)[-1], p) for i, p in plain], "file_ord int, base string, path string")
-        raw = read.text([p for _, p in plain]).select(
-            "value", F.col("_metadata.file_path").alias("at"), F.col("_metadata.file_block_start").alias("a"),
+        # Spark's own working folder may be another than this process has.
+        found = read.text([p if re.match(_SCHEME, p) else os.path.abspath(p) for p in plain])
+        order = spark.createDataFrame([(at[plain[i]], re.sub("^file:/+", "file:/", u)) for i, u in _uris(plain, found.inputFiles())], "file_ord int, uri string")
+        raw = found.select(
+            "value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("uri"), F.col("_metadata.file_block_start").alias("a"),
             F.monotonically_increasing_id().alias("b"),
         )
-        # One row for each file: the list of paths is the driver's own.
-        match = F.expr("endswith(url_decode(replace(at, '+', '%2B')), path)")
-        out = raw.join(F.broadcast(order), match).select("file_ord", F.struct("a", "b").alias("pos"), "value")
+        out = raw.join(order, "uri").select("file_ord", F.struct("a", "b").alias("pos"), "value")
     if hidden:
         more = _hidden(spark, hidden)
         out = more if out is None else out.unionByName(more)

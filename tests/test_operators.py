@@ -164,3 +164,13 @@ def test_training_beyond_the_words_of_the_driver_is_whole(spark, monkeypatch):
     for size in (64, 3):
         monkeypatch.setattr(bpe, "ROUND", size)
         assert bpe.train(df, bpe.FLOOR + 40).merges == tuple(want)
+
+
+def test_decoding_ids_that_are_no_text(spark):
+    from loamworks.operators import bpe, codec
+
+    t = bpe.Tokenizer(())
+    cases = [[5 + 0xC3], [5 + 0xE2, 5 + 0x82], [5 + 0x41, 5 + 0xFF, 5 + 0x42], []]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, ids array<int>")
+    got = {r.i: r.decoded for r in codec.decode(rows, t).collect()}
+    assert got == {i: codec.Codec(t).decode(c) for i, c in enumerate(cases)}

@@ -146,3 +146,33 @@ def test_stream(spark, tmp_path):
     q = stream(spark, str(tmp_path / "in"), True).writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [r.text for r in spark.table("seen").collect()] == ["alpha"]
+
+
+def test_paths_that_end_alike(spark, tmp_path, monkeypatch):
+    """Relative paths, one name as the end of another, a path given twice, odd characters: each line once."""
+    for n in ("x.txt", "yx.txt", "a b+c%20.txt", "sub/x.txt"):
+        (tmp_path / n).parent.mkdir(exist_ok=True)
+        (tmp_path / n).write_text(f"line of {n}\n")
+    monkeypatch.chdir(tmp_path)
+    uri = (tmp_path / "sub/x.txt").as_uri()
+    paths = ["x.txt", "yx.txt", str(tmp_path / "a b+c%20.txt"), "yx.txt", uri]
+    found = scan.lines(spark, paths)
+    assert sorted((r.file_ord, r.value) for r in found.collect()) == [
+        (0, "line of x.txt"), (1, "line of yx.txt"), (2, "line of a b+c%20.txt"), (4, "line of sub/x.txt"),
+    ]
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_download_sizes(tmp_path):
+    (tmp_path / "m/o/r/main").mkdir(parents=True)
+    (tmp_path / "m/o/r/main/a.txt").write_text("12345")
+    told = []
+
+    class Told(files.Reporter):
+        def started(self, name, total, size):
+            told.append((name, total, size))
+
+    mirror = tmp_path / "m"
+    source = files.RemoteSource("o/r", cache_dir=str(tmp_path / "c"), lister=files.folder_lister(mirror), transport=files.folder_transport(mirror), sizer=files.folder_sizer(mirror))
+    source.download(Told())
+    assert told == [("a.txt", 1, 5)]
