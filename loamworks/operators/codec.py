@@ -12,7 +12,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..llm.common import BATCH_ROWS
 from .bpe import SPECIAL_TOKENS, Tokenizer
 
 LOW, HIGH = 3.0, 4.5
@@ -20,6 +19,8 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL_TOKENS)) + ")")
 #: Words that a worker remembers.
 REMEMBERED = 500_000
+#: Texts of an Arrow batch.
+BATCH_ROWS = 1024
 
 
 class Codec:
