@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shift_pairs(sequences: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(cur, nxt) of every position that has a successor; sequences under two tokens have none."""
+def shift_pairs(sequences: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(cur, nxt) of every position that has a successor, with the columns of keep; sequences under two tokens have none."""
     nxt = F.expr(f"transform(sequence(0, size({tokens}) - 2), i -> named_struct('cur', {tokens}[i], 'nxt', {tokens}[i + 1]))")
-    return sequences.filter(F.size(tokens) >= 2).select(F.explode(nxt).alias("p")).select("p.cur", "p.nxt")
+    return sequences.filter(F.size(tokens) >= 2).select(F.explode(nxt).alias("p"), *keep).select("p.cur", "p.nxt", *keep)
 
 
 def cross_entropy(logits: Column, target: Column) -> Column:

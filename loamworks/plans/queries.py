@@ -117,17 +117,19 @@ def merges_k(s: SparkSession, d: str) -> DataFrame:
     return s.createDataFrame([(i + 1, l, r, c) for i, (l, r, c) in enumerate(made)], "step int, l string, r string, c bigint")
 
 
-def _encoded(s: SparkSession, d: str) -> DataFrame:
-    """doc_id and the symbols of each distinct word after the first merges, with its uses in the document."""
-    words = _docs(s, d).select("doc_id", F.explode(T.pretokens(F.col("text"))).alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
-    form = T.symbols(F.col("w"))
-    for l, r, _ in bpe.first_merges(_docs(s, d), MERGES):
+def _with_tokens(s: SparkSession, d: str) -> DataFrame:
+    """Documents with n_tokens after the first merges, without a shuffle: bars keep words apart, and no merge crosses one."""
+    docs = _table(s, d, "documents").select("doc_id", "text", "lang")
+    words = F.transform(T.pretokens(F.col("text")), lambda w: F.hex(F.encode(w, "UTF-8")))
+    form = F.regexp_replace(F.array_join(words, "|"), "([0-9A-F]{2})", "<$1>")
+    for l, r, _ in bpe.first_merges(docs, MERGES):
         form = bpe.apply_merge(form, l, r)
-    return words.select("doc_id", "n", F.size(T.symbol_list(form)).alias("k"))
+    tokens = F.length(form) - F.length(F.replace(form, F.lit("<"), F.lit("")))
+    return docs.withColumn("n_tokens", tokens.cast("bigint"))
 
 
 def encode_counts(s: SparkSession, d: str) -> DataFrame:
-    return _encoded(s, d).groupBy("doc_id").agg(F.sum(F.col("n") * F.col("k")).alias("n_tokens"))
+    return _with_tokens(s, d).filter("text <> ''").groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
 
 
 def _ratio(chars: str, tokens: str):  # noqa: ANN202
@@ -135,9 +137,8 @@ def _ratio(chars: str, tokens: str):  # noqa: ANN202
 
 
 def chars_per_token(s: SparkSession, d: str) -> DataFrame:
-    docs = _table(s, d, "documents").select("doc_id", "lang", F.length("text").alias("chars"))
-    both = docs.join(encode_counts(s, d), "doc_id", "left").groupBy("lang")
-    both = both.agg(F.sum("chars").alias("chars"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
+    both = _with_tokens(s, d).groupBy("lang")
+    both = both.agg(F.sum(F.length("text")).alias("chars"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
     ratio = _ratio("chars", "n_tokens")
     return both.select("lang", "chars", "n_tokens", ratio.alias("ratio"), ratio.between(3.0, 4.5).alias("in_band"))
 
@@ -154,9 +155,7 @@ def round_trip(s: SparkSession, d: str) -> DataFrame:
 
 
 def report(s: SparkSession, d: str) -> DataFrame:
-    counts = _docs(s, d).join(encode_counts(s, d), "doc_id", "left").agg(
-        F.sum(F.length("text")).alias("chars"), F.sum("n_tokens").alias("n_tokens")
-    )
+    counts = _with_tokens(s, d).agg(F.sum(F.length("text")).alias("chars"), F.sum("n_tokens").alias("n_tokens"))
     same = round_trip(s, d).agg(F.bool_and("same").alias("round_trips"))
     return counts.crossJoin(same).select(  # two rows of one aggregate each
         F.lit(bpe.FLOOR + MERGES).cast("bigint").alias("vocab_size"), _ratio("chars", "n_tokens").alias("chars_per_token"), "round_trips"
@@ -183,9 +182,12 @@ def vocab(s: SparkSession, d: str) -> DataFrame:
 
 
 def shift_pairs(s: SparkSession, d: str) -> DataFrame:
-    tokens = F.expr("transform(split(regexp_replace(hex(encode(text, 'UTF-8')), '(..)', '$1 '), ' '), x -> x)")
-    docs = _docs(s, d).select(F.filter(tokens, lambda x: x != "").alias("tokens"))
-    return sequences.shift_pairs(docs).groupBy("cur", "nxt").agg(F.count(F.lit(1)).alias("n"))
+    """Over distinct pieces: a word and the first byte of the next one, so each pair of neighbours is in one piece."""
+    texts = _docs(s, d).select(F.transform(T.pretokens(F.col("text")), lambda w: F.hex(F.encode(w, "UTF-8"))).alias("words"))
+    piece = F.transform("words", lambda w, i: F.concat(w, F.coalesce(F.substring(F.get("words", i + 1), 1, 2), F.lit(""))))
+    pieces = texts.select(F.explode(piece).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    tokens = pieces.select(T.symbol_list(F.regexp_replace("x", "(..)", "<$1>")).alias("tokens"), "n")
+    return sequences.shift_pairs(tokens, keep=("n",)).groupBy("cur", "nxt").agg(F.sum("n").alias("n"))
 
 
 def cross_entropy(s: SparkSession, d: str) -> DataFrame:
