@@ -39,6 +39,8 @@ from .common import HOT_ROWS, arrow_pass, dealt_join, join_hot, row_key, staged,
 
 WIDTH = 35
 GRAM = 8
+#: Frequent anchors up to which they are shipped with the tasks; more are joined by a shuffle.
+MOST_HOT = 1 << 20
 
 
 def _windows(buf: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,8 +69,18 @@ def _runs(buf: np.ndarray, offs: np.ndarray, width: int, gram: int) -> tuple[np.
     return grams[at[a]], whole, row, a - first[row], b - a
 
 
-def anchors(docs: DataFrame, width: int, gram: int, only: bool) -> DataFrame:
-    """Runs of the rows of docs (key, text), equal ones of a row as one with its places: the anchors only, or all columns."""
+def anchors(docs: DataFrame, width: int, gram: int, only: bool, hot: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Runs of the rows of docs (key, text), equal ones of a row as one with its places: the anchors only, or all columns.
+
+    hot: frequent anchors (sorted) and the parts that the rows of each are dealt into; the part of a row is __deal.
+    """
+    hot_anchor, hot_parts = hot or (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def deal(anchor: np.ndarray, key: np.ndarray) -> np.ndarray:
+        if not len(hot_anchor):
+            return np.zeros(len(anchor), np.int32)
+        at = np.searchsorted(hot_anchor, anchor) % len(hot_anchor)
+        return (key.view(np.uint64) % np.where(hot_anchor[at] == anchor, hot_parts[at], 1).astype(np.uint64)).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,10 +101,12 @@ def anchors(docs: DataFrame, width: int, gram: int, only: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([K.signed(anchor[head]), n], ["anchor", "n"])
                 else:
                     places = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array((at * 64 + more)[order]))
-                    cols = [K.signed(anchor[head]), K.signed(whole[head]), pa.array(keys[i:j][row[head]]), n, places]
-                    yield pa.RecordBatch.from_arrays(cols, ["anchor", "whole", "key", "n", "places"])
+                    key = keys[i:j][row[head]].astype(np.int64)
+                    part_of = pa.array(deal(anchor[head].view(np.int64), key))
+                    cols = [K.signed(anchor[head]), K.signed(whole[head]), pa.array(key), n, places, part_of]
+                    yield pa.RecordBatch.from_arrays(cols, ["anchor", "whole", "key", "n", "places", "__deal"])
 
-    schema = "anchor long, n long" if only else "anchor long, whole long, key long, n long, places array<long>"
+    schema = "anchor long, n long" if only else "anchor long, whole long, key long, n long, places array<long>, __deal int"
     return arrow_pass(docs, run, schema)
 
 
@@ -129,7 +143,13 @@ def repeated_places(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     often = staged(counts.filter("n > 1"))
     # Anchors of very many rows are dealt to several tasks; at most one in HOT_ROWS rows is such.
     hot = staged(often.filter(F.col("rows") > HOT_ROWS // 10).select("anchor", F.ceil(F.col("rows") / (HOT_ROWS // 10)).cast("int").alias("__k")))
-    runs = staged(dealt_join(anchors(docs, width, gram, False), often.select("anchor"), ["anchor"], hot))
+    few = hot.limit(MOST_HOT + 1).toPandas().sort_values("anchor")
+    if len(few) <= MOST_HOT:
+        copies = often.join(hot, "anchor", "left").select("anchor", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1)).alias("__deal"))
+        found = anchors(docs, width, gram, False, (few["anchor"].to_numpy(np.int64), few["__k"].to_numpy(np.int64)))
+        runs = staged(found.join(copies, ["anchor", "__deal"]).drop("__deal"))
+    else:
+        runs = staged(dealt_join(anchors(docs, width, gram, False).drop("__deal"), often.select("anchor"), ["anchor"], hot))
     kinds = staged(
         runs.groupBy("anchor", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("key", F.col("places")[0].alias("place"))).alias("one"))
         .select("anchor", "whole", "n", "one.key", "one.place")
