@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,12 +20,14 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL_TOKENS)) + ")")
 #: Words that a worker remembers.
 REMEMBERED = 500_000
+#: Characters of the longest word that is remembered; longer ones are encoded each time.
+LONGEST = 64
 #: Texts of an Arrow batch.
 BATCH_ROWS = 1024
 
 
 class Codec:
-    """Encodes each distinct word once; the memory is bounded."""
+    """Encodes each distinct word once, very long ones aside; the memory is bounded."""
 
     def __init__(self, tokenizer: Tokenizer):
         self.ids = tokenizer.ids()
@@ -37,26 +40,42 @@ class Codec:
     def word(self, word: str) -> list[int]:
         got = self.known.get(word)
         if got is None:
-            parts = [bytes([b]) for b in word.encode("utf-8")]
-            while len(parts) > 1:
-                rank, at = min(((self.ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:], strict=False))))
-                if rank == 1 << 60:
-                    break
-                a, b = parts[at], parts[at + 1]
-                k, new = 0, []
-                while k < len(parts):
-                    if k + 1 < len(parts) and parts[k] == a and parts[k + 1] == b:
-                        new.append(a + b)
-                        k += 2
-                    else:
-                        new.append(parts[k])
-                        k += 1
-                parts = new
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            got = self.known[word] = [self.ids[p] for p in parts]
+            got = [self.ids[p] for p in self.merged([bytes([b]) for b in word.encode("utf-8")])]
+            if len(word) <= LONGEST:
+                if len(self.known) > REMEMBERED:
+                    self.known.clear()
+                self.known[word] = got
         return got
 
+    def merged(self, parts: list[bytes]) -> list[bytes]:
+        """The parts after all merges: of the pairs of least rank all places at once, from the left, until none is left.
+
+        A heap of the ranked places makes a word of n bytes cost n log n, however long it is.
+        """
+        ranks, n = self.ranks, len(parts)
+        # Places of merged parts leave the chain: after and before name their living neighbours.
+        parts, after, before = parts[:], list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (r := ranks.get(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, made = heap[0][0], []
+            while heap and heap[0][0] == rank:
+                i = heapq.heappop(heap)[1]
+                j = after[i]
+                if j < n and parts[i] and ranks.get((parts[i], parts[j])) == rank:
+                    parts[i] += parts[j]
+                    parts[j] = b""
+                    after[i] = after[j]
+                    if after[j] < n:
+                        before[after[j]] = i
+                    made.append(i)
+            # New pairs count from the next round on; a pair that is gone by then no longer has its rank.
+            for i in made:
+                for a, b in ((before[i], i), (i, after[i])):
+                    if parts[i] and a >= 0 and b < n and (r := ranks.get((parts[a], parts[b]))) is not None:
+                        heapq.heappush(heap, (r, a))
+        return [p for p in parts if p]
+
     def encode(self, text: str) -> list[int]:
         """No tokens are added; the reserved ones in the text are whole tokens."""
         out: list[int] = []

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,3 +41,37 @@ def test_the_round_trip_goes_through_ids(spark, folder, monkeypatch):
     assert queries.round_trip(spark, folder).filter("not same").count() == 0
     monkeypatch.setattr(codec, "decode", lambda docs, tokenizer: docs.withColumn("decoded", F.lit("a fault of the tokenizer")))
     assert queries.round_trip(spark, folder).filter("same").count() == 0
+
+
+def merged_plainly(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
+    while found := [ranks[p] for p in zip(parts, parts[1:], strict=False) if p in ranks]:
+        out: list[bytes] = []
+        i = 0
+        while i < len(parts):
+            fits = i + 1 < len(parts) and ranks.get((parts[i], parts[i + 1])) == min(found)
+            out.append(parts[i] + parts[i + 1] if fits else parts[i])
+            i += 2 if fits else 1
+        parts = out
+    return parts
+
+
+def test_merges_by_a_heap_equal_merges_round_by_round():
+    own, rnd = codec.Codec(bpe.Tokenizer(())), random.Random(5)
+    for _ in range(400):
+        tokens, own.ranks = [b"a", b"b", b"c"], {}
+        # Any order of merges, also those that no training gives: one token by two ways, a low rank that comes late.
+        for _ in range(rnd.randint(0, 14)):
+            pair = rnd.choice(tokens), rnd.choice(tokens)
+            tokens.append(b"".join(pair))
+            own.ranks.setdefault(pair, rnd.randint(0, 1 << 40))
+        parts = [rnd.choice(tokens[:3]) for _ in range(rnd.choice([0, 1, 2, 5, 20, 60]))]
+        assert own.merged(parts) == merged_plainly(parts, own.ranks)
+
+
+def test_a_very_long_word_is_encoded_whole_and_not_remembered():
+    own = codec.Codec(bpe.Tokenizer(tuple(bpe.learn_merges({b"abab" * 9: 3, b"abba": 2}, 8))))
+    word = "ab" * 200_000
+    began = time.process_time()
+    assert own.decode(own.encode(word)) == word
+    assert time.process_time() - began < 60
+    assert not own.known
