@@ -35,6 +35,8 @@ from .common import arrow_pass, table, text_of, text_slices
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks that a worker remembers; then it starts anew, with the same results.
 REMEMBERED = 300_000
+#: Characters of the longest chunk that is remembered; a text without blanks is one chunk.
+LONGEST = 256
 _END = "</w>"
 #: Before a special token among chunks; a lone surrogate, which no text holds.
 _MARK = "\ud800"
@@ -231,9 +233,11 @@ class WordBpe:
         new = {c for own in cut for c in own} - self.chunks.keys()
         if new:
             self.learn({c for own in cut for c in own} if len(self.chunks) + len(new) > REMEMBERED else new)
-        known = self.chunks
-        for own in cut:
-            yield [known[c] for c in own]
+        found = [[self.chunks[c] for c in own] for own in cut]
+        for c in new:
+            if len(c) > LONGEST:
+                del self.chunks[c]
+        yield from found
 
 
 _LOADED: dict[str, WordBpe] = {}

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import WordBpe, vocabulary_path
+from .bpe import LONGEST, WordBpe, vocabulary_path
 from .common import arrow_pass, staged, table, text_of, text_slices
 
 CAPACITY = 4096
@@ -57,8 +57,12 @@ class ChunkIds(WordBpe):
             new = every
         self._learn_ids(new)
         known = self.known
-        for own in cut:
-            yield b"".join([known[c] for c in own])
+        found = [[known[c] for c in own] for own in cut]
+        for c in new:
+            if len(c) > LONGEST:
+                del known[c]
+        for own in found:
+            yield b"".join(own)
 
     def _learn_ids(self, new: set[str]) -> None:
         """New chunks go to the library in lines, parted by a special token that no chunk of a line holds."""
@@ -69,7 +73,7 @@ class ChunkIds(WordBpe):
             if "<|" in c and any(x in c for x in self.special):
                 # A special token, or its letters in another case, which the library would take for one.
                 self.learn({c})
-                self.known[c] = np.array(self.chunks[c][0].split(), "<u4").tobytes()
+                self.known[c] = np.array(self.chunks.pop(c)[0].split(), "<u4").tobytes()
             else:
                 plain.append(c)
         for a, b in text_slices(plain, LINE_CHARS):

@@ -54,6 +54,16 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert list(small.encode_texts(texts()[a : a + 10])) == list(big.encode_texts(texts()[a : a + 10]))
 
 
+def test_long_chunks_are_encoded_whole_and_not_remembered(library):
+    own = ["ab" * 700, "x " + "日本" * 300, "ab" * 700, "<|endoftext|>" + "c" * 300, "c" * 300 + " <|STARTOFTEXT|>" + "d" * 300]
+    want = [library.encode(t, add_special_tokens=False).ids for t in own]
+    table, ids = bpe.WordBpe(bpe.vocabulary_path()), packing.ChunkIds(bpe.vocabulary_path())
+    for _ in range(2):
+        assert [[int(x) for s, _ in t for x in s.split()] for t in table.encode_texts(own)] == want
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids.ids_of(own)] == want
+    assert max(map(len, [*table.chunks, *ids.known, *ids.chunks])) <= bpe.LONGEST
+
+
 def test_long_merging_equals_plain_merging():
     b = bpe.encoder(bpe.vocabulary_path())
     r = random.Random(3)
