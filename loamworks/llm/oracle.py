@@ -38,4 +38,48 @@ reach AS (SELECT rn, rn AS root FROM sets UNION SELECT links.b AS rn, reach.root
 least AS (SELECT reach.rn, min(sets.doc_id) AS component_id FROM reach JOIN sets ON sets.rn = reach.root GROUP BY reach.rn)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (rn)"""
 
-SQL = {"op4_sharding": OP4, "op7_substrings": OP7, "op9_jaccard": OP9}
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _side(places: str) -> str:
+    return f"coalesce(array_to_string(r[{places}], ''), '')"
+
+
+def _fold(start: str, levels: str, name: str) -> str:
+    """Each row of start (rn, g, idx, n, a, b, proof) carried up through levels (k, g, idx, n, h): a as it is, b as tampered with."""
+    left, right = _side("1 : s.idx % 16"), _side("s.idx % 16 + 2 :")
+    return f"""{name}_runs AS MATERIALIZED (SELECT k, g, idx // 16 AS up, list(h ORDER BY idx) AS r FROM {levels} WHERE n > 1 GROUP BY ALL),
+{name} AS (SELECT 0 AS k, * FROM {start} UNION ALL SELECT s.k + 1, s.rn, s.g, s.idx // 16, (s.n + 15) // 16, sha256({left} || a || {right}), sha256({left} || b || {right}), proof || {left} || {right} FROM {name} s JOIN {name}_runs t ON s.k = t.k AND s.g = t.g AND s.idx // 16 = t.up WHERE s.n > 1)"""
+
+
+def _levels(name: str, start: str) -> str:
+    return f"""{name} AS (SELECT 0 AS k, g, idx, n, h FROM {start} UNION ALL SELECT k + 1, g, idx // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY k, g, idx // 16)"""
+
+
+OP11 = f"""WITH RECURSIVE all_ AS (SELECT row_number() OVER () AS rn, * FROM documents),
+bits AS (SELECT range AS i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, range) AS v FROM range(256)),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bits),
+hexed AS (SELECT rn, hex(encode(CAST(doc_id AS VARCHAR))) AS x FROM all_),
+sums AS (SELECT rn, xor(list_reduce(list_transform(range(strlen(x) // 2), lambda i: ('0x' || substr(x, CAST(2 * i + 1 AS INT), 2))::BIGINT), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM hexed, crc),
+base AS (SELECT rn, doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS g, {_leaf('text')} AS h, CASE WHEN crc % 5 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf('text')} END AS tampered FROM all_ JOIN sums USING (rn)),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h, rn) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM base),
+{_levels('lev', 'leaves')},
+subroots AS MATERIALIZED (SELECT '' AS g, g AS own, h, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM lev WHERE n = 1),
+{_levels('toplev', 'subroots')},
+low AS (SELECT rn, g, idx, n, h AS a, tampered AS b, '' AS proof FROM leaves),
+{_fold('low', 'lev', 'inner_')},
+high AS (SELECT rn, s.g, s.idx, s.n, i.a, i.b, i.proof FROM inner_ i JOIN subroots s ON i.n = 1 AND i.g = s.own),
+{_fold('high', 'toplev', 'outer_')}
+SELECT doc_id, l.h AS leaf, i.a AS subroot, t.h AS root, sha256(o.proof) AS proof_sha256, o.b AS folded_root, o.b = t.h AS verified
+FROM leaves l JOIN inner_ i ON i.rn = l.rn AND i.n = 1 JOIN outer_ o ON o.rn = l.rn AND o.n = 1, (SELECT h FROM toplev WHERE n = 1) t"""
+
+OP13 = f"""WITH {_ROWS},
+norm AS (SELECT rn, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM rows_)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, rn) = 1 AS kept, sha256(t) AS text_sha256 FROM norm"""
+
+SQL = {"op4_sharding": OP4, "op7_substrings": OP7, "op9_jaccard": OP9, "op11_merkle": OP11, "op13_exact_dedup": OP13}

@@ -11,16 +11,18 @@ from .bpe import op3_bpe
 from .fingerprints import op10_fingerprints
 from .jaccard import op9_jaccard
 from .langid import op2_langid
+from .merkle import op11_merkle
 from .mincut import op5_mincut
 from .packing import op8_packing
 from .quality import op6_quality
+from .quotient import op13_exact_dedup
 from .sharding import op4_sharding
 from .substrings import op7_substrings
 from .webp import op1_webp
 
 _ALL = (
     op1_webp, op2_langid, op3_bpe, op4_sharding, op5_mincut, op6_quality, op7_substrings, op8_packing, op9_jaccard,
-    op10_fingerprints,
+    op10_fingerprints, op11_merkle, op13_exact_dedup,
 )
 
 
