@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .alignment import op12_alignment
 from .bpe import op3_bpe
 from .fingerprints import op10_fingerprints
 from .jaccard import op9_jaccard
@@ -22,7 +23,7 @@ from .webp import op1_webp
 
 _ALL = (
     op1_webp, op2_langid, op3_bpe, op4_sharding, op5_mincut, op6_quality, op7_substrings, op8_packing, op9_jaccard,
-    op10_fingerprints, op11_merkle, op13_exact_dedup,
+    op10_fingerprints, op11_merkle, op12_alignment, op13_exact_dedup,
 )
 
 
