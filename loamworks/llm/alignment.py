@@ -34,6 +34,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from .common import arrow_pass, drop_staged, staged, table, text_slices
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: Chunks that a worker remembers; then it starts anew, with the same results.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: Characters of the longest chunk that is remembered.
 LONGEST = 256
 #: Characters of new chunks that are tokenised together.
@@ -220,7 +221,7 @@ class Aligner:
         self.learn(once)
         known, groups = self.known, self.groups
         sizes = np.array([len(x) for x in cut], np.int64)
-        words = np.fromiter((known[c] for own in cut for c in own), np.int64, int(sizes.sum()))
+        words = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         owner = np.repeat(np.arange(len(texts)), sizes)
         lost = np.zeros(len(texts), bool)
         lost[owner[self.n_a.view()[words] < 0]] = True
@@ -233,7 +234,7 @@ class Aligner:
         sha, at = [], 0
         listed = words.tolist()
         for n in sizes.tolist():
-            sha.append(hashlib.sha256(";".join([groups[k] for k in listed[at : at + n]]).encode()).hexdigest() if n else "")
+            sha.append(hashlib.sha256(";".join(map(groups.__getitem__, listed[at : at + n])).encode()).hexdigest() if n else "")
             at += n
         out["sha"] = sha
         used, out["words"] = np.unique(words, return_inverse=True)
