@@ -3,8 +3,8 @@
 Spark counts the distinct words of the corpus; they are few against its
 occurrences. The merges themselves are a sequence of argmaxima: a driver loop
 with an incremental pair index learns them from the word counts; where the words
-are too many for the driver, rounds of exact pair counts in Spark do. ``first_merges``
-does one merge as a DataFrame operation, for checks against SQL.
+are too many for the driver, ``hot_merges`` takes over. ``first_merges`` does one
+merge as a DataFrame operation, for checks against SQL.
 """
 
 from __future__ import annotations
@@ -20,16 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens, symbol_list, symbols
-from ..staging import delete, stage_path
 
 #: The reserved tokens, with ids from 0.
 SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
 VOCAB_SIZE = 16_000
 MIN_FREQUENCY = 2
-#: Distinct words that the driver takes; beyond it all words stay in Spark.
-MOST_WORDS = 5_000_000
-#: Merges of a round in Spark, at most.
-ROUND = 64
+#: Symbols of distinct words, or of their fragments, that the driver holds at once: about 200 bytes each.
+MOST_SYMBOLS = 4_000_000
 FLOOR = len(SPECIAL_TOKENS) + 256
 
 
@@ -58,10 +55,15 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
-    """(l, r, c) of adjacent symbols of words (s, n), s in symbol form."""
-    listed = words.select("n", symbol_list(F.col("s")).alias("a")).filter(F.size("a") > 1)
-    pair = F.expr("transform(sequence(0, size(a) - 2), i -> named_struct('l', a[i], 'r', a[i + 1]))")
-    return listed.select("n", F.explode(pair).alias("p")).groupBy("p.l", "p.r").agg(F.sum("n").alias("c"))
+    """(l, r, c) of adjacent symbols of words (s, n), s in symbol form.
+
+    A filter on the symbols would be pushed below an aggregation that makes the words, and make them for every
+    occurrence; so words without a pair leave after the explode.
+    """
+    listed = words.select("n", symbol_list(F.col("s")).alias("a"))
+    pair = F.expr("CASE WHEN size(a) > 1 THEN transform(sequence(0, size(a) - 2), i -> named_struct('l', a[i], 'r', a[i + 1])) END")
+    exploded = listed.select("n", F.explode_outer(pair).alias("p")).filter("p IS NOT NULL")
+    return exploded.groupBy("p.l", "p.r").agg(F.sum("n").alias("c"))
 
 
 def best_pair(pairs: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
@@ -89,8 +91,17 @@ def first_merges(texts: DataFrame, k: int, text: str = "text", min_frequency: in
 
 def learn_merges(counts: dict[bytes, int], target: int, min_frequency: int = MIN_FREQUENCY) -> list[tuple[bytes, bytes]]:
     """Up to target merges of distinct words, by an incremental index of pairs and a lazy heap."""
-    words = [[bytes([b]) for b in w] for w in counts]
-    weight = list(counts.values())
+    return merges_of([[bytes([b]) for b in w] for w in counts], list(counts.values()), target, min_frequency)
+
+
+def merges_of(
+    words: list[list[bytes]], weight: list[int], target: int, least: int, known: set[bytes] | None = None
+) -> list[tuple[bytes, bytes]]:
+    """Up to target merges of weighted sequences of symbols, while the best pair occurs at least so often.
+
+    With known, the symbols that other sequences may hold: a merge whose product is among them is the last. The
+    words are changed, and new symbols are added to known.
+    """
     count: Counter = Counter()
     where: dict[tuple[bytes, bytes], set[int]] = defaultdict(set)
     for i, w in enumerate(words):
@@ -104,12 +115,16 @@ def learn_merges(counts: dict[bytes, int], target: int, min_frequency: int = MIN
         c, a, b = heapq.heappop(heap)
         now = count.get((a, b), 0)
         if now != -c:
-            if now >= min_frequency:
+            if now >= least:
                 heapq.heappush(heap, (-now, a, b))
             continue
-        if now < min_frequency:
+        if now < least:
             break
         out.append((a, b))
+        if known is not None:
+            if a + b in known:
+                break
+            known.add(a + b)
         changed: Counter = Counter()
         for i in where.pop((a, b)):
             w, n = words[i], weight[i]
@@ -130,12 +145,42 @@ def learn_merges(counts: dict[bytes, int], target: int, min_frequency: int = MIN
         for p, d in changed.items():
             if d:
                 count[p] += d
-                if count[p] >= min_frequency:
+                if count[p] >= least:
                     heapq.heappush(heap, (-count[p], *p))
         del count[a, b]
     return out
 
 
+def merge_ranked(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
+    """The parts after all merges: of the pairs of least rank all places at once, from the left, until none is left.
+
+    A heap of the ranked places makes a word of n parts cost n log n, however long it is.
+    """
+    n = len(parts)
+    # Places of merged parts leave the chain: after and before name their living neighbours.
+    parts, after, before = parts[:], list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (r := ranks.get(p)) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, made = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            i = heapq.heappop(heap)[1]
+            j = after[i]
+            if j < n and parts[i] and ranks.get((parts[i], parts[j])) == rank:
+                parts[i] += parts[j]
+                parts[j] = b""
+                after[i] = after[j]
+                if after[j] < n:
+                    before[after[j]] = i
+                made.append(i)
+        # New pairs count from the next round on; a pair that is gone by then no longer has its rank.
+        for i in made:
+            for a, b in ((before[i], i), (i, after[i])):
+                if parts[i] and a >= 0 and b < n and (r := ranks.get((parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (r, a))
+    return [p for p in parts if p]
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """Reserved tokens, 256 bytes, then one token for each merge; equal symbols share the first id."""
@@ -206,85 +251,20 @@ def vocab_size_from_file(path: str) -> int:
     return Tokenizer.load(path).vocab_size()
 
 
-def certain_prefix(pairs: list[tuple[str, str, int]], symbols_known: set[str], whole: bool) -> int:
-    """How many of the most frequent pairs (l, r, c), in order, are the next merges in that order for certain.
-
-    A merge (a, b) changes the counts of (x, a), (b, y) and (a, b) alone, of every pair of a if a is b, and a
-    new pair (x, ab) or (ab, y) is at most as frequent as (x, a) or (b, y) was. So all pairs before the first
-    that meets an earlier one are certain if they are more frequent than it; a pair whose product is a
-    symbol already, or of equal sides, can be only the last. `whole` tells that no other pair is left out.
-    """
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    made: set[str] = set()
-    for n, (a, b, _) in enumerate(pairs):
-        if b in lefts or a in rights:
-            break
-        if a == b or a + b in symbols_known or a + b in made:
-            # Its new pairs are bounded by pairs that need not be on the list: it must be the first, or stand alone.
-            return max(1, _above(pairs, n, pairs[n][2]))
-        lefts.add(a)
-        rights.add(b)
-        made.add(a + b)
-    else:
-        return len(pairs) if whole else max(1, _above(pairs, len(pairs), pairs[-1][2]))
-    return max(1, _above(pairs, n, pairs[n][2]))
-
-
-def _above(pairs: list[tuple[str, str, int]], n: int, c: int) -> int:
-    """How many of the first n pairs are more frequent than c."""
-    while n and pairs[n - 1][2] <= c:
-        n -= 1
-    return n
-
-
-def spark_merges(words: DataFrame, target: int, min_frequency: int = MIN_FREQUENCY) -> list[tuple[bytes, bytes]]:
-    """The same merges as ``learn_merges`` of words (w, n), all of which stay in Spark.
+def train(texts: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY, text: str = "text") -> Tokenizer:
+    """Learns a tokenizer of at most vocab_size tokens, from all words.
 
-    Each round counts the pairs of all words and takes the merges that are certain from the most frequent
-    ones; only these come to the driver.
+    Words of at most MOST_SYMBOLS bytes together come to the driver; more stay in Spark, with the same result.
     """
-    spark = words.sparkSession
-    folder = stage_path(spark)
-    out: list[tuple[bytes, bytes]] = []
-    known = {f"{b:02X}" for b in range(256)}
-
-    def stage(df: DataFrame, k: int) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{k}")
-        return spark.read.schema("s string, n long").parquet(f"{folder}/{k}")
+    from .hot_merges import spark_merges
 
-    k = 0
-    try:
-        # Words of one byte have no pair, and never get one.
-        now = stage(words.select(symbols(F.col("w")).alias("s"), F.col("n").cast("long").alias("n")).filter(F.length("s") > 4), k)
-        while len(out) < target:
-            top = pair_counts(now).filter(F.col("c") >= min_frequency).orderBy(F.desc("c"), "l", "r").limit(ROUND + 1)
-            pairs = [(r.l, r.r, r.c) for r in top.collect()]
-            if not pairs:
-                break
-            take = min(certain_prefix(pairs, known, len(pairs) <= ROUND), target - len(out), ROUND)
-            merged = F.col("s")
-            for a, b, _ in pairs[:take]:
-                out.append((bytes.fromhex(a), bytes.fromhex(b)))
-                known.add(a + b)
-                merged = apply_merge(merged, a, b)
-            # A word of one symbol is done.
-            now = stage(now.select(merged.alias("s"), "n").filter(F.col("s").contains("><")), k + 1)
-            delete(spark, f"{folder}/{k}")
-            k += 1
-    finally:
-        delete(spark, folder)
-    return out
-
-
-def train(texts: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY, text: str = "text") -> Tokenizer:
-    """Learns a tokenizer of at most vocab_size tokens, from all words."""
     if vocab_size <= FLOOR:
         raise ValueError(f"vocab size {vocab_size} is too small: it must exceed {FLOOR}")
     words = word_counts(texts, text).persist(StorageLevel.DISK_ONLY)
     try:
-        if words.count() > MOST_WORDS:
-            return Tokenizer(tuple(spark_merges(words, vocab_size - FLOOR, min_frequency)))
+        size = words.agg(F.sum(F.octet_length("w").cast("long"))).first()[0] or 0
+        if size > MOST_SYMBOLS:
+            return Tokenizer(tuple(spark_merges(words, vocab_size - FLOOR, min_frequency, MOST_SYMBOLS)))
         counts = {w.encode(): n for w, n in words.orderBy(F.desc("n"), "w").toPandas().itertuples(index=False)}
     finally:
         words.unpersist()

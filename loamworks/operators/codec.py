@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -13,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import SPECIAL_TOKENS, Tokenizer
+from .bpe import SPECIAL_TOKENS, Tokenizer, merge_ranked
 
 LOW, HIGH = 3.0, 4.5
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -48,33 +47,7 @@ class Codec:
         return got
 
     def merged(self, parts: list[bytes]) -> list[bytes]:
-        """The parts after all merges: of the pairs of least rank all places at once, from the left, until none is left.
-
-        A heap of the ranked places makes a word of n bytes cost n log n, however long it is.
-        """
-        ranks, n = self.ranks, len(parts)
-        # Places of merged parts leave the chain: after and before name their living neighbours.
-        parts, after, before = parts[:], list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (r := ranks.get(p)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, made = heap[0][0], []
-            while heap and heap[0][0] == rank:
-                i = heapq.heappop(heap)[1]
-                j = after[i]
-                if j < n and parts[i] and ranks.get((parts[i], parts[j])) == rank:
-                    parts[i] += parts[j]
-                    parts[j] = b""
-                    after[i] = after[j]
-                    if after[j] < n:
-                        before[after[j]] = i
-                    made.append(i)
-            # New pairs count from the next round on; a pair that is gone by then no longer has its rank.
-            for i in made:
-                for a, b in ((before[i], i), (i, after[i])):
-                    if parts[i] and a >= 0 and b < n and (r := ranks.get((parts[a], parts[b]))) is not None:
-                        heapq.heappush(heap, (r, a))
-        return [p for p in parts if p]
+        return merge_ranked(parts, self.ranks)
 
     def encode(self, text: str) -> list[int]:
         """No tokens are added; the reserved ones in the text are whole tokens."""

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 def shift_pairs(sequences: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ()) -> DataFrame:
     """(cur, nxt) of every position that has a successor, with the columns of keep; sequences under two tokens have none."""
-    nxt = F.expr(f"transform(sequence(0, size({tokens}) - 2), i -> named_struct('cur', {tokens}[i], 'nxt', {tokens}[i + 1]))")
-    return sequences.filter(F.size(tokens) >= 2).select(F.explode(nxt).alias("p"), *keep).select("p.cur", "p.nxt", *keep)
+    nxt = F.expr(f"CASE WHEN size({tokens}) > 1 THEN transform(sequence(0, size({tokens}) - 2), i -> named_struct('cur', {tokens}[i], 'nxt', {tokens}[i + 1])) END")
+    # A filter on the size would be pushed below an aggregation that makes the sequences.
+    return sequences.select(F.explode_outer(nxt).alias("p"), *keep).filter("p IS NOT NULL").select("p.cur", "p.nxt", *keep)
 
 
 def cross_entropy(logits: Column, target: Column) -> Column:
