@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import SPECIAL_TOKENS, Tokenizer, merge_ranked
+from .ragged import Growing, offsets, spread
 
 LOW, HIGH = 3.0, 4.5
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL_TOKENS)) + ")")
-#: Words that a worker remembers.
+#: White space and what follows it, up to white space that begins with one of these: there every word ends.
+_CHUNK = re.compile(r"\s+\S*(?:[^\S\t-\r ]\s*\S*)*|\S+(?:[^\S\t-\r ]\s*\S*)*")
+#: Words, and chunks of words, that a worker remembers.
 REMEMBERED = 500_000
-#: Characters of the longest word that is remembered; longer ones are encoded each time.
-LONGEST = 64
+#: Characters of the longest word that is remembered, and of the longest chunk; longer ones are encoded each time.
+LONGEST, LONGEST_CHUNK = 64, 256
+#: Characters of texts that are encoded together.
+SLICE_CHARS = 1_000_000
 #: Texts of an Arrow batch.
 BATCH_ROWS = 1024
 
@@ -35,6 +41,14 @@ class Codec:
         for i, p in enumerate(tokenizer.merges):
             self.ranks.setdefault(p, i)
         self.known: dict[str, list[int]] = {}
+        self._bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self._ends = offsets(np.array([len(t) for t in self.tokens], np.int64))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self._at, self._size = Growing(np.int64), Growing(np.int64)
+        self._ids = Growing(np.int32)
 
     def word(self, word: str) -> list[int]:
         got = self.known.get(word)
@@ -63,13 +77,88 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.tokens[i] for i in ids).decode("utf-8", "replace")
 
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a text; a reserved token is a chunk of its own."""
+        if "<|" not in text:
+            return _CHUNK.findall(text)
+        return [c for part in _SPECIAL.split(text) for c in ((part,) if part in SPECIAL_TOKENS else _CHUNK.findall(part))]
+
+    def _learn(self, chunks: list[str]) -> None:
+        ids = [[SPECIAL_TOKENS.index(c)] if c in SPECIAL_TOKENS else list(chain.from_iterable(map(self.word, _WORDS.findall(c)))) for c in chunks]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.slots.update(zip(chunks, range(self._at.n, self._at.n + len(ids)), strict=True))
+        self._at.add(self._ids.n + np.cumsum(sizes) - sizes)
+        self._size.add(sizes)
+        self._ids.add(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each text has, all ids): each distinct chunk is encoded once, and its ids are copied."""
+        cut = [self._cut(t) for t in texts]
+        every = set(chain.from_iterable(cut))
+        new = every.difference(self.slots)
+        if len(self.slots) + len(new) > REMEMBERED:
+            self._forget()
+            new = every
+        self._learn([c for c in new if len(c) <= LONGEST_CHUNK])
+        mark = self._at.n, self._ids.n
+        self._learn(long := [c for c in new if len(c) > LONGEST_CHUNK])
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        slots = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        length = self._size.view()[slots]
+        ids = self._ids.view()[spread(self._at.view()[slots], length)]
+        for c in long:
+            del self.slots[c]
+        self._at.n = self._size.n = mark[0]
+        self._ids.n = mark[1]
+        upto = offsets(length)
+        ends = np.cumsum(sizes)
+        return upto[ends] - upto[ends - sizes], ids
+
+    def decode_all(self, sizes: np.ndarray, ids: np.ndarray) -> list[str]:
+        """The texts of rows of so many ids each: the bytes of all tokens, gathered at once."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.tokens)):
+            raise IndexError(f"no token {ids.min() if ids.min() < 0 else ids.max()}")
+        starts, length = self._ends[:-1][ids], np.diff(self._ends)[ids]
+        data = self._bytes[spread(starts, length)].tobytes()
+        upto = offsets(length)[offsets(sizes)].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(upto, upto[1:], strict=False)]
+
+
+_CODECS: dict[Tokenizer, Codec] = {}
+
+
+def _codec(tokenizer: Tokenizer) -> Codec:
+    """The codec of this worker for a tokenizer; only the last one is kept."""
+    if tokenizer not in _CODECS:
+        _CODECS.clear()
+        _CODECS[tokenizer] = Codec(tokenizer)
+    return _CODECS[tokenizer]
+
+
+def _slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """Runs of rows of about so much together."""
+    out, a, total = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > a and total + n > limit:
+            out.append((a, i))
+            a, total = i, 0
+        total += n
+    return [*out, (a, len(sizes))] if a < len(sizes) else out
+
 
 def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", into: str = "ids") -> DataFrame:
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(tokenizer)
-        for b in batches:
-            yield b.map(lambda t: np.array(codec.encode(t), np.int32), na_action="ignore")
+    """docs with the ids of a text; null for a null text. Whole batches go through ``Codec.encode_all``."""
+
+    @F.arrow_udf("array<int>")
+    def run(texts: pa.Array) -> pa.Array:
+        codec, sizes, ids = _codec(tokenizer), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for a, b in _slices(pc.utf8_length(texts.fill_null("")).to_pylist(), SLICE_CHARS):
+            size, own = codec.encode_all([t or "" for t in texts.slice(a, b - a).to_pylist()])
+            sizes.append(size)
+            ids.append(own)
+        ends = offsets(np.concatenate(sizes)).astype(np.int32)
+        mask = texts.is_null() if texts.null_count else None
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)), mask=mask)
 
     # Whole texts and their ids: a batch stays small.
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -77,12 +166,19 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", into: str
 
 
 def decode(docs: DataFrame, tokenizer: Tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """By a lookup in the vocabulary, in the JVM: hex of the tokens joined, then UTF-8; U+FFFD for what is none."""
-    table = F.array(*(F.lit(t.hex()) for t in tokenizer.tokens()))
-    joined = F.array_join(F.transform(F.col(ids), lambda i: F.element_at(F.col("__table"), i + 1)), "")
-    # The table is one literal row, not one column of literals in each row's plan.
-    row = docs.sparkSession.range(1).select(table.alias("__table"))
-    return docs.crossJoin(F.broadcast(row)).withColumn(into, F.make_valid_utf8(F.unhex(joined).cast("string"))).drop("__table")
+    """docs with the text of ids; U+FFFD for what is no UTF-8, null for null ids, an error for an id that no token has."""
+
+    @F.arrow_udf("string")
+    def run(rows: pa.Array) -> pa.Array:
+        sizes = np.nan_to_num(rows.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        flat = rows.flatten().to_numpy(zero_copy_only=False)
+        if flat.dtype.kind == "f":
+            raise IndexError("a null among the ids")
+        found = _codec(tokenizer).decode_all(sizes, flat)
+        return pa.array(found, pa.string(), mask=rows.is_null().to_numpy(zero_copy_only=False))
+
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs.withColumn(into, run(ids))
 
 
 def round_trips(codec: Codec, text: str) -> bool:

@@ -75,3 +75,28 @@ def test_a_very_long_word_is_encoded_whole_and_not_remembered():
     assert own.decode(own.encode(word)) == word
     assert time.process_time() - began < 60
     assert not own.known
+
+
+def test_batches_equal_texts_one_by_one(monkeypatch):
+    """Chunks, reserved tokens, odd white space, long words; a table that is emptied often."""
+    rnd = random.Random(6)
+    parts = ["the", "cat", "it's", "été", "12", "...", "<|bos|>", "<|", "日本", "x" * 300, "\U0001f600"]
+    gaps = [" ", " ", " ", "\n", "\t", "  ", " \n", "\xa0", "\xa0 ", " \xa0", "\u3000  ", "\x1c", "\x1c ", "\r\n", "\x85", ""]
+    texts = ["".join(rnd.choice(parts) + rnd.choice(gaps) for _ in range(rnd.randint(0, 30))) for _ in range(300)] + ["", " ", "\n\n"]
+    counts: dict[bytes, int] = {}
+    for t in texts:
+        for w in codec._WORDS.findall(t):
+            counts[w.encode()] = counts.get(w.encode(), 0) + 1
+    tokenizer = bpe.Tokenizer(tuple(bpe.learn_merges(counts, 150)))
+    plain, own = codec.Codec(tokenizer), codec.Codec(tokenizer)
+    monkeypatch.setattr(codec, "REMEMBERED", 60)
+    for k in range(0, len(texts), 11):
+        part = texts[k : k + 11]
+        sizes, ids = own.encode_all(part)
+        at = 0
+        for t, n in zip(part, sizes.tolist(), strict=True):
+            assert ids[at : at + n].tolist() == plain.encode(t), repr(t)
+            at += n
+        assert own.decode_all(sizes, ids) == part
+    with pytest.raises(IndexError):
+        own.decode_all(own.encode_all(["a"])[0], own.encode_all(["a"])[1] + 10**6)
