@@ -176,3 +176,25 @@ def test_download_sizes(tmp_path):
     source = files.RemoteSource("o/r", cache_dir=str(tmp_path / "c"), lister=files.folder_lister(mirror), transport=files.folder_transport(mirror), sizer=files.folder_sizer(mirror))
     source.download(Told())
     assert told == [("a.txt", 1, 5)]
+
+
+def test_prefix_by_sums_of_ranges(spark, monkeypatch):
+    """Ties, nulls in the order, two order columns, very long texts, any budget: against a plain loop."""
+    import random
+
+    r = random.Random(4)
+    rows = [(r.choice([None, 1, 2, 3]), r.randint(0, 40), "é" * r.choice([0, 1, 5, 30])) for _ in range(300)]
+    rows += [(0, 7, "y" * 1_000_000), (2, 50, "z" * 1_000_000), (1, 1, None), *[(1, 20, "same")] * 30]
+    df = spark.createDataFrame(rows, "a int, b int, text string").repartition(5)
+    whole = [(x.a, x.b, x.text) for x in df.filter(F.length("text") > 0).orderBy("a", "b", F.xxhash64("text")).collect()]
+    for budget in (1, 50, 1700, 5000, 1_000_100, 3_000_000):
+        want, total = [], 0
+        for x in whole:
+            if total >= budget:
+                break
+            want.append(x)
+            total += len(x[2]) + 1
+        got = [tuple(x) for x in prefix(df, ["a", "b"], budget=budget).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr), budget
+    plan = prefix(df, ["a", "b"], budget=1700)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "TakeOrdered" not in plan
