@@ -95,12 +95,12 @@ def learn_merges(counts: dict[bytes, int], target: int, min_frequency: int = MIN
 
 
 def merges_of(
-    words: list[list[bytes]], weight: list[int], target: int, least: int, known: set[bytes] | None = None
+    words: list[list[bytes]], weight: list[int], target: int, least: int, known: set[bytes] | None = None, often: list[int] | None = None
 ) -> list[tuple[bytes, bytes]]:
     """Up to target merges of weighted sequences of symbols, while the best pair occurs at least so often.
 
     With known, the symbols that other sequences may hold: a merge whose product is among them is the last. The
-    words are changed, and new symbols are added to known.
+    words are changed, new symbols are added to known, and how often each pair occurred is added to often.
     """
     count: Counter = Counter()
     where: dict[tuple[bytes, bytes], set[int]] = defaultdict(set)
@@ -121,6 +121,8 @@ def merges_of(
         if now < least:
             break
         out.append((a, b))
+        if often is not None:
+            often.append(now)
         if known is not None:
             if a + b in known:
                 break
@@ -251,21 +253,29 @@ def vocab_size_from_file(path: str) -> int:
     return Tokenizer.load(path).vocab_size()
 
 
-def train(texts: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY, text: str = "text") -> Tokenizer:
-    """Learns a tokenizer of at most vocab_size tokens, from all words.
+def counted_merges(
+    texts: DataFrame, target: int, min_frequency: int = MIN_FREQUENCY, text: str = "text"
+) -> tuple[list[tuple[bytes, bytes]], list[int]]:
+    """The first merges of a corpus, learnt from all its words, and how often the pair of each occurred.
 
     Words of at most MOST_SYMBOLS bytes together come to the driver; more stay in Spark, with the same result.
     """
     from .hot_merges import spark_merges
 
-    if vocab_size <= FLOOR:
-        raise ValueError(f"vocab size {vocab_size} is too small: it must exceed {FLOOR}")
+    often: list[int] = []
     words = word_counts(texts, text).persist(StorageLevel.DISK_ONLY)
     try:
         size = words.agg(F.sum(F.octet_length("w").cast("long"))).first()[0] or 0
         if size > MOST_SYMBOLS:
-            return Tokenizer(tuple(spark_merges(words, vocab_size - FLOOR, min_frequency, MOST_SYMBOLS)))
+            return spark_merges(words, target, min_frequency, MOST_SYMBOLS, often=often), often
         counts = {w.encode(): n for w, n in words.orderBy(F.desc("n"), "w").toPandas().itertuples(index=False)}
     finally:
         words.unpersist()
-    return Tokenizer(tuple(learn_merges(counts, vocab_size - FLOOR, min_frequency)))
+    return merges_of([[bytes([b]) for b in w] for w in counts], list(counts.values()), target, min_frequency, often=often), often
+
+
+def train(texts: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY, text: str = "text") -> Tokenizer:
+    """Learns a tokenizer of at most vocab_size tokens, from all words."""
+    if vocab_size <= FLOOR:
+        raise ValueError(f"vocab size {vocab_size} is too small: it must exceed {FLOOR}")
+    return Tokenizer(tuple(counted_merges(texts, vocab_size - FLOOR, min_frequency, text)[0]))

@@ -129,6 +129,36 @@ def load_model_config(base: ModelConfig, path: str | None, env: dict, flags: dic
     return config
 
 
+def resolved(base: Column, *layers: Column) -> Column:
+    """A field of many runs at once: the last layer that sets it wins, an unset one never does."""
+    return F.coalesce(*reversed(layers), base)
+
+
+def env_setting(key: Column, value: Column, prefix: str = ENV_PREFIX) -> Column:
+    """struct(key, value) of an environment variable, as ``parse_env``: value as JSON, null where the prefix is another's."""
+    parsed = F.to_json(F.try_parse_json(value))
+    text = F.regexp_replace(F.to_json(F.array(value)), r"^\[(.*)\]$", "$1")
+    name = F.lower(F.substring(key, len(prefix) + 1, 10_000))
+    return F.when(key.startswith(prefix), F.struct(name.alias("key"), F.coalesce(parsed, text).alias("value")))
+
+
+_RUN = (("model", ModelConfig), ("training", TrainingConfig))
+_KINDS = {"int": "bigint", "bool": "boolean", "float": "double", "float | None": "double"}
+
+
+def run_json(settings: dict[str, Column]) -> Column:
+    """The JSON of a run, as ``RunConfig.to_json`` nests it, from columns named as its fields; unnamed training fields have their defaults."""
+    defaults = asdict(TrainingConfig())
+    part = lambda kind: F.struct(*(settings.get(f.name, F.lit(defaults.get(f.name))).cast(_KINDS[f.type]).alias(f.name) for f in fields(kind)))
+    return F.to_json(F.struct(*(part(kind).alias(name) for name, kind in _RUN)))
+
+
+def run_of_json(text: Column) -> Column:
+    """struct(model, training) of such JSON."""
+    part = lambda kind: ", ".join(f"{f.name}: {_KINDS[f.type]}" for f in fields(kind))
+    return F.from_json(text, ", ".join(f"{name} struct<{part(kind)}>" for name, kind in _RUN))
+
+
 def head_dim(d_model: Column, heads: Column) -> Column:
     safe = F.when(heads > 0, heads)
     return F.when(d_model % safe == 0, (d_model / safe).cast("bigint"))

@@ -161,9 +161,14 @@ def merged(words: DataFrame, symbols: list[bytes], merges: list[tuple[bytes, byt
 
 
 def spark_merges(
-    words: DataFrame, target: int, min_frequency: int = MIN_FREQUENCY, most_symbols: int = MOST_SYMBOLS, told: Callable[[dict], None] | None = None
+    words: DataFrame, target: int, min_frequency: int = MIN_FREQUENCY, most_symbols: int = MOST_SYMBOLS, told: Callable[[dict], None] | None = None,
+    often: list[int] | None = None,
 ) -> list[tuple[bytes, bytes]]:
-    """The merges that ``learn_merges`` gives for words (w, n), all of which stay in Spark; told hears of each round."""
+    """The merges that ``learn_merges`` gives for words (w, n), all of which stay in Spark.
+
+    told hears of each round; how often each pair occurred is added to often.
+    """
+    often = [] if often is None else often
     spark = words.sparkSession
     folder = stage_path(spark)
     symbols = [bytes([b]) for b in range(256)]
@@ -207,10 +212,11 @@ def spark_merges(
                 if size < 0:
                     # Even one count's pairs are too many: the best pair alone is certain.
                     new, last_alone = [_best(pairs.filter(F.col("c") == top[0]), symbols)], False
+                    often.append(top[0])
                 else:
                     rows = found.toArrow()
                     words_ = [[symbols[x] for x in np.frombuffer(f, "<i4").tolist()] for f in rows.column("f").to_pylist()]
-                    new = merges_of(words_, rows.column("n").to_pylist(), target - len(out), least, known)
+                    new = merges_of(words_, rows.column("n").to_pylist(), target - len(out), least, known, often)
                     del words_, rows
                     delete(spark, found.place)
                     last_alone = len(known) < len(symbols) + len(new)

@@ -55,9 +55,9 @@ class Progress(Reporter):
         return f"{self.downloaded + self.hits}/{self.total} files, {percent}%, {format_bytes(self.run_bytes)}, {format_bytes(int(self.rate()))}/s"
 
 
-def fold(events: DataFrame) -> DataFrame:
-    """One row: run_bytes, downloaded, cached, total of events (seq, kind, name, total, bytes)."""
-    return events.agg(
+def fold(events: DataFrame, *by: str) -> DataFrame:
+    """One row, or one for each of by: run_bytes, downloaded, cached, total of events (seq, kind, name, total, bytes)."""
+    return events.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "advanced", F.col("bytes"))), F.lit(0)).alias("run_bytes"),
         F.count_if(F.col("kind") == "finished").alias("downloaded"),
         F.count_if(F.col("kind") == "cached").alias("cached"),

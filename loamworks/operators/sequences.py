@@ -43,8 +43,18 @@ def causal_mask(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id").alias("q"), F.explode(F.sequence(F.lit(0), "id")).alias("k"))
 
 
+def causal_positions(lengths: DataFrame, n: str, keep: tuple[str, ...]) -> DataFrame:
+    """The mask of many sequences: (keep, q, k), the positions k that position q of a sequence of n may see."""
+    each = lengths.filter(F.col(n) > 0).select(*keep, F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("q"))
+    return each.select(*keep, "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q").cast("long"))).alias("k"))
+
+
+def deterministic_token(place: Column, vocab_size: int) -> Column:
+    return F.pmod(place * 7919, F.lit(vocab_size))
+
+
 def deterministic_tokens(spark: SparkSession, batch: int, length: int, vocab_size: int) -> DataFrame:
-    return spark.range(batch * length).select("id", F.pmod(F.col("id") * 7919, F.lit(vocab_size)).alias("token"))
+    return spark.range(batch * length).select("id", deterministic_token(F.col("id"), vocab_size).alias("token"))
 
 
 def embed(tokens: DataFrame, table: DataFrame) -> DataFrame:

@@ -8,32 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import bpe, config, progress, sample, sequences
+from ..operators import bpe, codec, config, progress, sample, sequences
 from ..operators.bpe import SPECIAL_TOKENS
 from ..sources import files, scan
 
-MERGES = 4
-NAMES = (
-    "a.jsonl", "a.jsonl.gz", "a.ndjson", "a.txt", "a.txt.gz", "notes.TXT.GZ", "a.parquet", "a.json", "README.md", "a.gz",
-    "b.text", "b.TEXT.gz", "jsonl", ".txt", "x.jsonl.bak",
+MERGES = 64
+#: Endings of the names made of documents.
+ENDINGS = (
+    ".jsonl", ".jsonl.gz", ".ndjson", ".NDJSON.GZ", ".txt", ".TXT.Gz", ".text", ".text.gz", ".parquet", ".json", ".rst", ".gz", ".txt.old",
+    "jsonl", ".txt.zst",
 )
-WANTED, CACHED = ("a.jsonl", "b.jsonl.gz", "c.txt", "d.txt"), ("b.jsonl.gz", "d.txt", "z.txt")
-JSON_LINES = (
-    '{"text": "hello", "meta": 1}', '{"meta": 1}', '{"text": ""}', "   ", "{not json", '{"text": 5}', '["text"]', '{"text": "a", "text": "b"}',
-    "{'text': 'x'}", '{"text": NaN}',
-)
-ENV = (("M_D_FF", "2222"), ("M_NORM_FIRST", "true"), ("M_NAME", "not-a-number"), ("OTHER", "1"), ("m_d_ff", "3"))
-LAYERS = (
-    ("d_model", 768, 1024, None, None), ("num_heads", 12, 16, None, None), ("num_layers", 12, 6, None, 3),
-    ("d_ff", 3072, 1111, 2222, None), ("context_length", 1024, None, None, None), ("vocab_size", 16000, None, None, 9999),
-)
-TOKENIZER_VOCAB = 300
-EVENTS = (
-    (1, "started", "a.jsonl.gz", 2, 1000), (2, "advanced", None, None, 400), (3, "advanced", None, None, 600),
-    (4, "finished", "a.jsonl.gz", None, None), (5, "cached", "b.jsonl.gz", 2, None),
-)
-SECONDS = 4.0
-BYTE_SIZES = (0, 512, 1023, 1024, 1280, 1536, 5 * 1024**2, 3 * 1024**3, 7 * 1024**4, 3000 * 1024**4)
+ENV = "RUN_"
+CONTEXT, SIZE, SECONDS = 1024, 16_000, 4.0
+KINDS = {"view": "advanced", "click": "started", "purchase": "finished", "signup": "cached"}
+BYTE_SIZES = (0, 700, 1023, 1024, 1331, 1536, 6 * 1024**2, 5 * 1024**3, 9 * 1024**4, 2500 * 1024**4)
 
 
 def _table(s: SparkSession, d: str, name: str) -> DataFrame:
@@ -44,20 +32,25 @@ def _docs(s: SparkSession, d: str) -> DataFrame:
     return _table(s, d, "documents").select("doc_id", "text")
 
 
-def _names(s: SparkSession, names: tuple[str, ...] = NAMES) -> DataFrame:
-    return s.createDataFrame([(n,) for n in names], "name string")
+def _names(s: SparkSession, d: str) -> DataFrame:
+    """A file name for each document."""
+    ending = F.element_at(F.array(*map(F.lit, ENDINGS)), (F.col("doc_id") % len(ENDINGS) + 1).cast("int"))
+    return _table(s, d, "documents").select("doc_id", F.concat("source", F.lit("-"), "doc_id", ending).alias("name"))
 
 
 def shard_filter(s: SparkSession, d: str) -> DataFrame:
-    return _names(s).filter(T.is_shard(F.col("name"))).orderBy("name")
+    return _names(s, d).select("name").filter(T.is_shard(F.col("name")))
 
 
 def detect_format(s: SparkSession, d: str) -> DataFrame:
-    return _names(s).select("name", T.is_json(F.col("name")).alias("json"), T.is_gzip(F.col("name")).alias("gzip"))
+    return _names(s, d).select("name", T.is_json(F.col("name")).alias("json"), T.is_gzip(F.col("name")).alias("gzip"))
 
 
 def cache_plan(s: SparkSession, d: str) -> DataFrame:
-    return files.cache_plan(_names(s, WANTED), _names(s, CACHED))
+    """The names of labelled documents count as cached."""
+    wanted = _names(s, d)
+    cached = wanted.join(_table(s, d, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    return files.cache_plan(wanted, cached)
 
 
 def records(s: SparkSession, d: str) -> DataFrame:
@@ -82,9 +75,17 @@ def jsonl_nonstring(s: SparkSession, d: str) -> DataFrame:
 
 
 def malformed_count(s: SparkSession, d: str) -> DataFrame:
+    """Of the lines of each language: JSON, JSON cut short, another kind of field, another kind of root, blanks."""
     scan.configure(s)
-    rows = s.createDataFrame([(x,) for x in JSON_LINES], "line string").select(scan.json_text(F.col("line")).alias("r"))
-    return rows.agg(F.count_if("r.malformed").alias("malformed"), F.count("r.text").alias("kept"))
+    whole = F.to_json(F.struct("text"))
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
+    kind = F.col("doc_id") % 5
+    line = (
+        F.when(kind == 0, whole).when(kind == 1, cut).when(kind == 2, F.to_json(F.struct(F.col("n_chars").alias("text"))))
+        .when(kind == 3, F.to_json(F.array("text"))).otherwise(F.lit(" \t"))
+    )
+    rows = _table(s, d, "documents").select("lang", scan.json_text(line).alias("r"))
+    return rows.groupBy("lang").agg(F.count_if("r.malformed").alias("malformed"), F.count("r.text").alias("kept"))
 
 
 def sample_prefix(s: SparkSession, d: str) -> DataFrame:
@@ -105,7 +106,9 @@ def byte_histogram(s: SparkSession, d: str) -> DataFrame:
 
 
 def byte_alphabet(s: SparkSession, d: str) -> DataFrame:
-    return bpe.byte_alphabet(s)
+    """The bytes of all documents with their letters."""
+    found = byte_histogram(s, d).select(F.conv("byte", 16, 10).cast("int").alias("byte"), "n")
+    return bpe.byte_alphabet(s).join(found, "byte")
 
 
 def pair_counts(s: SparkSession, d: str) -> DataFrame:
@@ -113,19 +116,19 @@ def pair_counts(s: SparkSession, d: str) -> DataFrame:
 
 
 def merges_k(s: SparkSession, d: str) -> DataFrame:
-    made = bpe.first_merges(_docs(s, d), MERGES)
-    return s.createDataFrame([(i + 1, l, r, c) for i, (l, r, c) in enumerate(made)], "step int, l string, r string, c bigint")
+    made, often = bpe.counted_merges(_docs(s, d), MERGES)
+    rows = [(i, l.hex().upper(), r.hex().upper(), c) for i, ((l, r), c) in enumerate(zip(made, often, strict=True), 1)]
+    return s.createDataFrame(rows, "step int, l string, r string, c bigint")
+
+
+def _first_tokenizer(docs: DataFrame) -> bpe.Tokenizer:
+    return bpe.Tokenizer(tuple(bpe.counted_merges(docs, MERGES)[0]))
 
 
 def _with_tokens(s: SparkSession, d: str) -> DataFrame:
-    """Documents with n_tokens after the first merges, without a shuffle: bars keep words apart, and no merge crosses one."""
+    """Documents with n_tokens after the first merges."""
     docs = _table(s, d, "documents").select("doc_id", "text", "lang")
-    words = F.transform(T.pretokens(F.col("text")), lambda w: F.hex(F.encode(w, "UTF-8")))
-    form = F.regexp_replace(F.array_join(words, "|"), "([0-9A-F]{2})", "<$1>")
-    for l, r, _ in bpe.first_merges(docs, MERGES):
-        form = bpe.apply_merge(form, l, r)
-    tokens = F.length(form) - F.length(F.replace(form, F.lit("<"), F.lit("")))
-    return docs.withColumn("n_tokens", tokens.cast("bigint"))
+    return codec.encode(docs, _first_tokenizer(docs)).withColumn("n_tokens", F.size("ids").cast("bigint")).drop("ids")
 
 
 def encode_counts(s: SparkSession, d: str) -> DataFrame:
@@ -145,12 +148,9 @@ def chars_per_token(s: SparkSession, d: str) -> DataFrame:
 
 def round_trip(s: SparkSession, d: str) -> DataFrame:
     """Through the ids of the first merges and back."""
-    from ..operators.codec import decode, encode
-
     docs = _docs(s, d)
-    made = bpe.first_merges(docs, MERGES)
-    tokenizer = bpe.Tokenizer(tuple((bytes.fromhex(l), bytes.fromhex(r)) for l, r, _ in made))
-    back = decode(encode(docs, tokenizer), tokenizer)
+    tokenizer = _first_tokenizer(docs)
+    back = codec.decode(codec.encode(docs, tokenizer), tokenizer)
     return back.select("doc_id", (F.col("decoded") == F.col("text")).alias("same"))
 
 
@@ -163,21 +163,26 @@ def report(s: SparkSession, d: str) -> DataFrame:
 
 
 def specials(s: SparkSession, d: str) -> DataFrame:
-    return s.createDataFrame(list(enumerate(SPECIAL_TOKENS)), "id int, token string")
+    """The reserved tokens, and how many texts of documents and conversations hold their letters."""
+    texts = _docs(s, d).select("text").union(_table(s, d, "conversations").select("text"))
+    held = texts.agg(*(F.count_if(F.contains("text", F.lit(t))).alias(f"n{i}") for i, t in enumerate(SPECIAL_TOKENS)))
+    each = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(t).alias("token"), F.col(f"n{i}").alias("n")) for i, t in enumerate(SPECIAL_TOKENS)))
+    return held.select(F.inline(each))
 
 
 def special_atomic(s: SparkSession, d: str) -> DataFrame:
-    from ..operators.codec import encode
-
-    made = encode(specials(s, d), bpe.Tokenizer(()), "token")
-    return made.select("token", F.size("ids").alias("n_ids"))
+    """Every document with a reserved token behind it, as bytes: the token adds one id, and that is its own."""
+    k = F.pmod("doc_id", F.lit(len(SPECIAL_TOKENS))).cast("int")
+    docs = _docs(s, d).withColumn("k", k).withColumn("text", F.concat("text", F.element_at(F.array(*map(F.lit, SPECIAL_TOKENS)), k + 1)))
+    made = codec.encode(docs, bpe.Tokenizer(()))
+    return made.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), (F.element_at("ids", -1) == F.col("k")).alias("last"))
 
 
 def vocab(s: SparkSession, d: str) -> DataFrame:
-    made = bpe.first_merges(_docs(s, d), MERGES)
+    made = bpe.counted_merges(_docs(s, d), MERGES)[0]
     rows = [(i, t.encode().hex().upper(), "special") for i, t in enumerate(SPECIAL_TOKENS)]
     rows += [(5 + b, f"{b:02X}", "byte") for b in range(256)]
-    rows += [(bpe.FLOOR + i, l + r, "merge") for i, (l, r, _) in enumerate(made)]
+    rows += [(bpe.FLOOR + i, (l + r).hex().upper(), "merge") for i, (l, r) in enumerate(made)]
     return s.createDataFrame(rows, "id int, token string, kind string")
 
 
@@ -196,57 +201,72 @@ def cross_entropy(s: SparkSession, d: str) -> DataFrame:
 
 
 def uniform_loss(s: SparkSession, d: str) -> DataFrame:
-    sizes = s.createDataFrame([(16_000,), (320,), (2,)], "vocab_size int")
-    return sizes.select("vocab_size", F.round(sequences.uniform_loss(F.col("vocab_size")), 9).alias("loss"))
+    """Of a guess among the distinct texts of each language."""
+    sizes = _table(s, d, "documents").groupBy("lang").agg(F.count_distinct("text").alias("vocab_size"))
+    return sizes.select("lang", "vocab_size", F.round(sequences.uniform_loss(F.col("vocab_size")), 9).alias("loss"))
 
 
 def context_guard(s: SparkSession, d: str) -> DataFrame:
-    return encode_counts(s, d).filter("n_tokens <= 1024")
+    return encode_counts(s, d).filter(F.col("n_tokens") <= CONTEXT)
 
 
 def causal_mask(s: SparkSession, d: str) -> DataFrame:
-    return sequences.causal_mask(s, 24)
+    """Which turns of its conversation each turn may see."""
+    lengths = _table(s, d, "conversations").groupBy("conv_id").agg((F.max("turn") + 1).cast("bigint").alias("n"))
+    return sequences.causal_positions(lengths, "n", ("conv_id",))
 
 
 def det_tokens(s: SparkSession, d: str) -> DataFrame:
-    return sequences.deterministic_tokens(s, 2, 32, 16_000)
+    return _table(s, d, "documents").select("doc_id", sequences.deterministic_token(F.col("doc_id"), SIZE).alias("token"))
 
 
 def layered_config(s: SparkSession, d: str) -> DataFrame:
-    rows = s.createDataFrame(list(LAYERS), "field string, base bigint, file bigint, env bigint, flag bigint")
-    over = F.when(F.col("field") == "vocab_size", F.lit(TOKENIZER_VOCAB))
-    return rows.select("field", F.coalesce(over, "flag", "env", "file", "base").cast("bigint").alias("resolved"))
+    """The context length of a run for each order: base, file, environment, flag, and a tokenizer above them."""
+    key = F.col("o_orderkey")
+    layers = (
+        F.when(F.col("o_orderstatus") == "F", key % 4096), F.when(F.col("o_orderpriority").startswith("1"), key % 512),
+        F.when(key % 7 == 0, key % 64), F.when(key % 11 == 0, F.lit(300)),
+    )
+    return _table(s, d, "orders").select("o_orderkey", config.resolved(F.col("o_custkey"), *layers).cast("bigint").alias("resolved"))
 
 
 def env_parse(s: SparkSession, d: str) -> DataFrame:
-    rows = s.createDataFrame(list(ENV), "k string, v string").filter(F.col("k").startswith("M_"))
-    return rows.select(
-        F.lower(F.substring("k", 3, 1000)).alias("key"), F.coalesce(F.to_json(F.try_parse_json("v")), F.to_json(F.array("v"))).alias("value")
-    ).withColumn("value", F.regexp_replace("value", r"^\[(.*)\]$", "$1"))
+    kind = F.col("event_id") % 3
+    key = F.concat(F.when(F.col("event_id") % 4 == 0, F.lit("OTHER_")).otherwise(F.lit(ENV)), F.upper("event_type"))
+    value = F.when(kind == 0, F.col("props")).when(kind == 1, F.col("user_id").cast("string")).otherwise(F.col("event_type"))
+    rows = _table(s, d, "events").select("event_id", config.env_setting(key, value, ENV).alias("e")).filter("e IS NOT NULL")
+    return rows.select("event_id", "e.key", "e.value")
 
 
 def model_sizes(s: SparkSession, d: str) -> DataFrame:
-    from dataclasses import astuple
-
-    rows = s.createDataFrame(
-        [(k, *astuple(m)) for k, m in config.SIZES.items()],
-        "size string, v bigint, ctx bigint, d bigint, f bigint, layers bigint, heads bigint, norm_first boolean",
-    )
-    c = [F.col(x) for x in ("v", "ctx", "d", "f", "layers")]
-    return rows.select("size", config.head_dim(F.col("d"), F.col("heads")).alias("head_dim"), config.approx_parameters(*c).alias("parameters"))
+    """A model for each part."""
+    n = F.col("p_size").cast("bigint")
+    width, heads = n * 12, F.col("p_partkey") % 13
+    parameters = config.approx_parameters(n * 1000, F.lit(CONTEXT).cast("bigint"), width, n * 48, n)
+    head = F.coalesce(config.head_dim(width, heads), F.lit(0))  # 0: the heads don't divide the width
+    return _table(s, d, "part").select("p_partkey", head.alias("head_dim"), parameters.cast("bigint").alias("parameters"))
 
 
 def run_json(s: SparkSession, d: str) -> DataFrame:
-    text = F.to_json(F.struct(F.struct(F.lit(768).alias("d_model"), F.lit(True).alias("norm_first")).alias("model"), F.struct(F.lit(0.0003).alias("learning_rate"), F.lit(100_000).alias("max_steps")).alias("training")))
-    kind = "model struct<d_model:int,norm_first:boolean>, training struct<learning_rate:double,max_steps:int>"
-    back = s.range(1).select(F.from_json(text, kind).alias("r"))
-    return back.select("r.model.d_model", "r.model.norm_first", "r.training.learning_rate", "r.training.max_steps")
+    """A run for each order, as JSON and back."""
+    key = F.col("o_orderkey")
+    own = {
+        "vocab_size": key, "context_length": F.lit(CONTEXT), "d_model": F.col("o_custkey"), "d_ff": F.col("o_custkey") * 4, "num_layers": key % 48,
+        "num_heads": key % 16, "norm_first": F.col("o_orderstatus") == "F", "learning_rate": F.col("o_totalprice"),
+    }
+    back = _table(s, d, "orders").select("o_orderkey", config.run_of_json(config.run_json(own)).alias("r"))
+    return back.select("o_orderkey", "r.model.*", "r.training.learning_rate", "r.training.max_steps")
 
 
 def progress_fold(s: SparkSession, d: str) -> DataFrame:
-    folded = progress.fold(s.createDataFrame(list(EVENTS), "seq int, kind string, name string, total int, bytes bigint"))
-    seconds = F.lit(SECONDS)
-    return folded.select("*", F.when(seconds > 0, F.col("run_bytes") / seconds).otherwise(0.0).alias("rate"))
+    """The events of each day as those of a download."""
+    kind = F.coalesce(*(F.when(F.col("event_type") == k, F.lit(v)) for k, v in KINDS.items()), F.lit("other"))
+    events = _table(s, d, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("seq"), kind.alias("kind"),
+        F.when(kind.isin("started", "cached"), F.col("user_id")).alias("total"), F.round(F.col("value") * 100).cast("bigint").alias("bytes"),
+    )
+    folded = progress.fold(events, "day")
+    return folded.select("*", (F.col("run_bytes") / F.lit(SECONDS)).alias("rate"))
 
 
 def format_bytes(s: SparkSession, d: str) -> DataFrame:

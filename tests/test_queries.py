@@ -10,7 +10,7 @@ ALL = queries.queries()
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("documents", "events", "embeddings"):
+    for t in ("documents", "events", "embeddings", "labels", "conversations", "orders", "part"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return c
 
