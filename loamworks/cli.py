@@ -13,7 +13,7 @@ from .operators.config import SIZES, load_model_config, read_env
 from .operators.progress import Progress, format_bytes
 from .operators.sample import read_sample
 from .sources.files import LocalSource, RemoteSource, folder_lister, folder_sizer, folder_transport
-from .sources.scan import records
+from .sources.scan import Drops, records
 
 log = logging.getLogger("loamworks")
 
@@ -78,9 +78,11 @@ def read_prompt(prompt: str) -> str:
 
 def train_tokenizer(spark, source, text_field: str, output: str, vocab_size: int, min_frequency: int) -> codec.Report:  # noqa: ANN001
     """Reads, trains, verifies, then saves; fails on an empty corpus before it trains."""
-    found = records(spark, source.resolve(), text_field)
-    sample = read_sample(found, ["file_ord", "pos"])
-    tokenizer = train(found, vocab_size, min_frequency)
+    paths = source.resolve()
+    sample = read_sample(records(spark, paths, text_field), ["file_ord", "pos"])
+    drops = Drops()
+    tokenizer = train(records(spark, paths, text_field, drops=drops), vocab_size, min_frequency)
+    drops.warn()
     report = codec.report(tokenizer, sample)
     if not report.in_band:
         log.warning("%.2f characters a token lie outside %s to %s", report.chars_per_token, codec.LOW, codec.HIGH)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import uuid
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens, symbol_list, symbols
+from ..staging import delete, read_file, rename, write_file
 
 #: The reserved tokens, with ids from 0.
 SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
@@ -218,8 +220,8 @@ class Tokenizer:
         rows = [(i, bytearray(t), i < len(SPECIAL_TOKENS)) for i, t in enumerate(self.tokens())]
         return spark.createDataFrame(rows, "id int, token binary, special boolean")
 
-    def save(self, path: str) -> None:
-        """Writes the artifact whole, or not at all."""
+    def artifact(self) -> bytes:
+        """The public JSON form."""
         show = lambda t: "".join(LETTERS[b] for b in t)
         vocab = {t: i for i, t in enumerate(SPECIAL_TOKENS)} | {show(t): i for t, i in self.ids().items()}
         level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
@@ -236,14 +238,38 @@ class Tokenizer:
                 "merges": [[show(a), show(b)] for a, b in self.merges],
             },
         }
-        with open(path + ".part", "w", encoding="utf-8") as f:
-            json.dump(spec, f, ensure_ascii=False, indent=2)
+        return json.dumps(spec, ensure_ascii=False, indent=2).encode()
+
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """Writes the artifact whole, or not at all; with a session, to any file system that Spark writes to."""
+        if spark:
+            write_file(spark, path, self.artifact())
+            return
+        with open(path + ".part", "wb") as f:
+            f.write(self.artifact())
         os.replace(path + ".part", path)
 
+    def save_folder(self, spark: SparkSession, folder: str) -> None:
+        """tokenizer.json, and vocabulary and merges as Parquet, in a folder that appears when it is whole."""
+        part = f"{folder}.{uuid.uuid4().hex}.part"
+        try:
+            write_file(spark, f"{part}/tokenizer.json", self.artifact())
+            self.vocab(spark).coalesce(1).write.parquet(f"{part}/vocabulary")
+            rows = [(i, bytearray(a), bytearray(b)) for i, (a, b) in enumerate(self.merges)]
+            spark.createDataFrame(rows, "rank int, left binary, right binary").coalesce(1).write.parquet(f"{part}/merges")
+            rename(spark, part, folder)
+        except BaseException:
+            delete(spark, part)
+            raise
+
     @staticmethod
-    def load(path: str) -> Tokenizer:
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def load(path: str, spark: SparkSession | None = None) -> Tokenizer:
+        if spark:
+            data = read_file(spark, path)
+        else:
+            with open(path, "rb") as f:
+                data = f.read()
+        model = json.loads(data)["model"]
         back = lambda t: bytes(BYTES[c] for c in t)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         return Tokenizer(tuple((back(a), back(b)) for a, b in pairs))

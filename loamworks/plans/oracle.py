@@ -110,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "model_sizes": f"WITH m AS (SELECT p_partkey, p_size * 1000::BIGINT AS v, {Q.CONTEXT}::BIGINT AS ctx, p_size * 12::BIGINT AS d, p_size * 48::BIGINT AS f, p_size::BIGINT AS layers, p_partkey % 13 AS heads FROM part) SELECT p_partkey, CASE WHEN heads > 0 AND d % heads = 0 THEN CAST(d // heads AS BIGINT) ELSE 0 END AS head_dim, CAST((v + ctx) * d + layers * (4 * d * d + 4 * d + 4 * d + 2 * d * f + f + d) + 2 * d AS BIGINT) AS parameters FROM m",
         "run_json": f"SELECT o_orderkey, o_orderkey AS vocab_size, {Q.CONTEXT}::BIGINT AS context_length, o_custkey AS d_model, o_custkey * 4 AS d_ff, o_orderkey % 48 AS num_layers, o_orderkey % 16 AS num_heads, o_orderstatus = 'F' AS norm_first, o_totalprice AS learning_rate, 100000::BIGINT AS max_steps FROM orders",
         "progress_fold": "WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id AS seq, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in Q.KINDS.items()) + f" ELSE 'other' END AS kind, user_id, CAST(round(value * 100) AS BIGINT) AS bytes FROM events) SELECT day, CAST(coalesce(sum(bytes) FILTER (kind = 'advanced'), 0) AS BIGINT) AS run_bytes, count(*) FILTER (kind = 'finished') AS downloaded, count(*) FILTER (kind = 'cached') AS cached, arg_max(user_id, seq) FILTER (kind IN ('started', 'cached')) AS total, coalesce(sum(bytes) FILTER (kind = 'advanced'), 0)::DOUBLE / {Q.SECONDS} AS rate FROM e GROUP BY day",
+        "shard_records": f"WITH r AS (SELECT true AS json, text FROM documents WHERE doc_id % 3 < 2 AND text <> '' UNION ALL SELECT false, regexp_replace(unnest(string_split(text, chr(10))), chr(13) || '$', '') FROM documents WHERE doc_id % 3 = 2) SELECT json, text, count(*) AS n FROM r WHERE json OR regexp_matches(text, '[^{_WS}]') GROUP BY ALL",
         "format_bytes": f"WITH b AS (SELECT DISTINCT bytes FROM (SELECT bytes FROM (VALUES {_values(Q.BYTE_SIZES)}) t(bytes) UNION ALL SELECT n_chars FROM documents)), k AS (SELECT bytes, unit, name FROM b JOIN {_UNIT} ON bytes >= unit QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY k DESC) = 1) SELECT CAST(b.bytes AS BIGINT) AS bytes, CASE WHEN k.unit IS NULL THEN b.bytes || ' B' ELSE printf('%.1f', b.bytes::DOUBLE / k.unit) || ' ' || k.name END AS shown FROM b LEFT JOIN k USING (bytes)",
     }
     return {q: sql[q.split("_", 1)[1]] for q in Q.queries()}

@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..operators import bpe, codec, config, progress, sample, sequences
 from ..operators.bpe import SPECIAL_TOKENS
 from ..sources import files, scan
+from ..staging import stage_path
 
 MERGES = 64
 #: Endings of the names made of documents.
@@ -274,11 +275,21 @@ def format_bytes(s: SparkSession, d: str) -> DataFrame:
     return own.union(_table(s, d, "documents").select(F.col("n_chars").alias("bytes")).distinct()).distinct().select("bytes", T.format_bytes(F.col("bytes")).alias("shown"))
 
 
+def shard_records(s: SparkSession, d: str) -> DataFrame:
+    """Documents written as shards of three formats, and the records that a scan of the shards gives."""
+    docs, base, paths = _docs(s, d), stage_path(s), []
+    for k, ending in enumerate((".jsonl", ".jsonl.gz", ".txt.gz")):
+        paths += files.write_shards(docs.filter(F.col("doc_id") % 3 == k), f"{base}/{k}", ending)
+    json = F.array(*(F.lit(files.detect_format(p).json) for p in paths))
+    found = scan.records(s, paths).select(F.element_at(json, F.col("file_ord") + 1).alias("json"), "text")
+    return found.groupBy("json", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
 _ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     shard_filter, detect_format, cache_plan, records, text_lines, jsonl_text, jsonl_nonstring, malformed_count, sample_prefix,
     pretoken_counts, byte_histogram, byte_alphabet, pair_counts, merges_k, encode_counts, chars_per_token, round_trip, report,
     specials, special_atomic, vocab, shift_pairs, cross_entropy, uniform_loss, context_guard, causal_mask, det_tokens,
-    layered_config, env_parse, model_sizes, run_json, progress_fold, format_bytes,
+    layered_config, env_parse, model_sizes, run_json, progress_fold, format_bytes, shard_records,
 )
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import shutil
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import listed, read_file, rename
+
 _SHARD = re.compile(r"\.(jsonl|ndjson|txt|text)(\.gz)?$", re.I | re.A)
 
 
@@ -163,10 +168,52 @@ def cache_plan(wanted: DataFrame, cached: DataFrame) -> DataFrame:
     return fetch.union(wanted.join(have, "name", "left_semi").select("name", F.lit("skip").alias("action")))
 
 
+#: Bytes of a header, at most; the format's own bound.
+MOST_HEADER = 100_000_000
+#: Files whose headers are read side by side.
+READERS = 16
+
+
+def tensor_header(spark: SparkSession, path: str) -> dict[str, dict]:
+    """name: {dtype, shape, data_offsets} of a safetensors file: its first 8 bytes, and as many as they say."""
+    size = int.from_bytes(read_file(spark, path, 0, 8), "little")
+    if size > MOST_HEADER:
+        raise ValueError(f"a header of {size} bytes: {path}")
+    data = read_file(spark, path, 8, size)
+    if len(data) < size:
+        raise ValueError(f"the file ends within its header: {path}")
+    found = json.loads(data)
+    found.pop("__metadata__", None)
+    return found
+
+
 def tensor_names(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name) of every tensor in safetensors files, from their headers alone."""
-    files = spark.read.format("binaryFile").load(path)
-    little = F.expr("concat_ws('', reverse(transform(sequence(1, 8), i -> hex(substring(content, i, 1)))))")
-    header = F.expr("decode(substring(content, 9, cast(conv(__size, 16, 10) AS INT)), 'UTF-8')")
-    names = files.withColumn("__size", little).withColumn("__header", header)
-    return names.select("path", F.explode(F.json_object_keys("__header")).alias("name")).filter("name <> '__metadata__'")
+    """(path, name, dtype, shape) of every tensor in safetensors files, a folder's or a pattern's too; only headers are read."""
+    # The listing is Spark's; it opens no file, as the content isn't asked for.
+    paths = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    with ThreadPoolExecutor(READERS) as pool:
+        headers = list(pool.map(lambda p: tensor_header(spark, p), paths))
+    rows = [(p, k, v["dtype"], v["shape"]) for p, h in zip(paths, headers, strict=True) for k, v in h.items()]
+    return spark.createDataFrame(rows, "path string, name string, dtype string, shape array<long>")
+
+
+def shards(spark: SparkSession, folder: str) -> list[str]:
+    """The shards of a folder on any file system that Spark reads, sorted."""
+    found = [p for p in listed(spark, folder) if is_corpus_file(p.rsplit("/", 1)[-1])]
+    if not found:
+        raise FileNotFoundError(f"no corpus files in {folder}")
+    return found
+
+
+def write_shards(records: DataFrame, folder: str, ending: str = ".jsonl.gz", text: str = "text") -> list[str]:
+    """Writes records as shards of a format, one line each, and gives their paths; plain text with line ends becomes several lines."""
+    spark, kind = records.sparkSession, detect_format(ending)
+    if not is_corpus_file("x" + ending):
+        raise ValueError(f"no ending of a shard: {ending}")
+    line = F.to_json(F.struct(F.col(text).alias("text"))) if kind.json else F.coalesce(text, F.lit(""))
+    part = f"{folder}.{uuid.uuid4().hex}.part"
+    records.select(line.alias("value")).write.option("compression", "gzip" if kind.gzip else "none").text(part)
+    for i, p in enumerate(x for x in listed(spark, part) if x.rsplit("/", 1)[-1].startswith("part-")):
+        rename(spark, p, f"{part}/shard-{i:05}{ending}")
+    rename(spark, part, folder)
+    return shards(spark, folder)

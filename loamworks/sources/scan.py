@@ -1,26 +1,68 @@
-"""From shard files to records (file_ord, pos, text)."""
+"""From shard files to records (file_ord, pos, text).
+
+A byte order mark at the start of a file is not part of its first line, as
+Spark's reader has it. A carriage return at the end of a line is dropped, also
+of a last line without a line end.
+"""
 
 from __future__ import annotations
 
 import gzip
 import json
+import logging
 import os
 import re
 from collections.abc import Iterator
-from urllib.parse import unquote, urlsplit
+from urllib.parse import quote, unquote, urlsplit
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import is_blank
+from ..staging import exists
 from .files import detect_format
 
+log = logging.getLogger(__name__)
 LINES = "file_ord int, pos struct<a:bigint,b:bigint>, value string"
 
 
+class Drops:
+    """Counts what a scan leaves out, while it runs: no pass of its own, and no line comes to the driver.
+
+    Give one to ``records``, run one action on the whole result, then ask.
+    """
+
+    def __init__(self) -> None:
+        self._watched: list[Observation] = []
+        self._files: list[str] = []
+
+    def watch(self, df: DataFrame, **counts: Column) -> DataFrame:
+        seen = Observation()
+        self._watched.append(seen)
+        return df.observe(seen, *(c.alias(name) for name, c in counts.items()))
+
+    def counts(self) -> dict[str, int]:
+        """lines, and of these not_utf8, blank, malformed and textless; files that were not there, or gave no line."""
+        out = dict.fromkeys(("lines", "not_utf8", "blank", "malformed", "textless"), 0)
+        with_lines: set[int] = set()
+        for seen in self._watched:
+            for name, value in seen.get.items():
+                if name == "files":
+                    with_lines.update(value)
+                else:
+                    out[name] += value
+        return out | {"silent_files": len(set(range(len(self._files))) - with_lines)}
+
+    def warn(self) -> None:
+        """Says in the log what was left out; blank lines are nothing to warn of."""
+        for name, n in self.counts().items():
+            if n and name not in ("lines", "blank", "textless"):
+                log.warning("skipped %d %s", n, name.replace("_", " "))
+
+
 def _hidden(spark: SparkSession, paths: list[tuple[int, str]]) -> DataFrame:
     """Lines of files whose names Spark's readers skip (leading _ or .); read where all executors see them."""
 
@@ -30,7 +72,7 @@ def _hidden(spark: SparkSession, paths: list[tuple[int, str]]) -> DataFrame:
                 with (gzip.open if detect_format(path).gzip else open)(path, "rb") as f:
                     rows: list[tuple[int, bytes]] = []
                     for n, line in enumerate(f):
-                        rows.append((n, line.removesuffix(b"\n")))
+                        rows.append((n, (line if n else line.removeprefix(b"\xef\xbb\xbf")).removesuffix(b"\n")))
                         if len(rows) == 10_000:
                             yield _batch(ord_, rows)
                             rows = []
@@ -70,13 +112,14 @@ def _uris(paths: list[str], listed: list[str]) -> list[tuple[int, str]]:
     return out
 
 
-def lines(spark: SparkSession, paths: list[str], skip_corrupt: bool = True) -> DataFrame:
+def lines(spark: SparkSession, paths: list[str], skip_corrupt: bool = True, drops: Drops | None = None) -> DataFrame:
     """Lines of files in order of (file_ord, pos): ends at \\n, one \\r before it dropped.
 
     Gzip is undone, also of several members. Lines that are no UTF-8 are dropped; of a broken file the readable
     part is kept, and a missing one is skipped. A path given twice is read once, at its first position.
     """
-    paths_ = list(dict.fromkeys(paths))
+    place = lambda p: p if re.match(_SCHEME, p) else "file://" + quote(os.path.abspath(p), safe="/")
+    paths_ = [p for p in dict.fromkeys(paths) if exists(spark, place(p))]
     at = {p: paths.index(p) for p in paths_}
     hidden = [(at[p], p) for p in paths_ if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
     plain = [p for p in paths_ if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
@@ -97,6 +140,8 @@ def lines(spark: SparkSession, paths: list[str], skip_corrupt: bool = True) -> D
         out = more if out is None else out.unionByName(more)
     if out is None:
         raise FileNotFoundError("no files to read")
+    if drops:
+        out = drops.watch(out, lines=F.count(F.lit(1)), not_utf8=F.count_if(~F.is_valid_utf8("value")))
     return out.filter(F.is_valid_utf8("value")).withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
@@ -165,24 +210,36 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def records(spark: SparkSession, paths: list[str], text_field: str = "text", strict: bool = False) -> DataFrame:
-    """(file_ord, pos, text) of all shards; blank, textless, malformed and unreadable lines are dropped."""
+def records(
+    spark: SparkSession, paths: list[str], text_field: str = "text", strict: bool = False, drops: Drops | None = None
+) -> DataFrame:
+    """(file_ord, pos, text) of all shards; blank, textless, malformed and unreadable lines are dropped, and counted in drops."""
     configure(spark)
     kinds = {p: detect_format(p).json for p in paths}
+    if drops:
+        drops._files = list(paths)
     out = None
     for is_json in (True, False):
         own = [p for p in paths if kinds[p] == is_json]
         if not own:
             continue
-        found = lines(spark, own)
+        found = lines(spark, own, drops=drops)
+        # Positions in the part list become positions in the whole list.
+        whole = F.create_map(*(F.lit(x) for i, p in enumerate(own) for x in (i, paths.index(p))))
+        found = found.withColumn("file_ord", whole[F.col("file_ord")])
         if is_json:
             f = json_text_strict if strict else json_text
-            found = found.select("file_ord", "pos", f(F.col("value"), text_field)["text"].alias("text")).filter("text IS NOT NULL")
+            found = found.select("file_ord", "pos", is_blank(F.col("value")).alias("blank"), f(F.col("value"), text_field).alias("r"))
+            if drops:
+                textless = F.col("r.text").isNull() & ~F.col("r.malformed") & ~F.col("blank")
+                found = drops.watch(
+                    found, blank=F.count_if("blank"), malformed=F.count_if("r.malformed"), textless=F.count_if(textless), files=F.collect_set("file_ord")
+                )
+            found = found.select("file_ord", "pos", F.col("r.text").alias("text")).filter("text IS NOT NULL")
         else:
+            if drops:
+                found = drops.watch(found, blank=F.count_if(is_blank(F.col("value"))), files=F.collect_set("file_ord"))
             found = found.filter(~is_blank(F.col("value"))).withColumnRenamed("value", "text")
-        # Positions in the part list become positions in the whole list.
-        whole = F.create_map(*(F.lit(x) for i, p in enumerate(own) for x in (i, paths.index(p))))
-        found = found.withColumn("file_ord", whole[F.col("file_ord")])
         out = found if out is None else out.unionByName(found)
     if out is None:
         raise FileNotFoundError("no files to read")

@@ -54,9 +54,69 @@ def staged(df: DataFrame) -> DataFrame:
     return out
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def _opened(spark: SparkSession, path: str):  # noqa: ANN202
+    """A path and its file system, whichever it is."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at, fs = _opened(spark, path)
+    fs.delete(at, True)
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """The files of a folder, as full paths in order."""
+    at, fs = _opened(spark, folder)
+    return sorted(x.getPath().toString() for x in fs.listStatus(at) if x.isFile())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """path is a URI; one without a scheme is of the file system that Spark takes by default."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(path)) if path.startswith("file:") else _opened(spark, path)[0]
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """A file or a folder gets its name at once; what had the name before is replaced."""
+    jvm = spark.sparkContext._jvm
+    a, _ = _opened(spark, old)
+    b, fs = _opened(spark, new)
+    if fs.exists(b) and fs.getFileStatus(b).isDirectory():
+        fs.delete(b, True)
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    where = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(b).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    where.rename(fs.makeQualified(a), fs.makeQualified(b), how)
+
+
+def write_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a file whole, or not at all, on any file system that Spark writes to."""
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    at, fs = _opened(spark, part)
+    try:
+        out = fs.create(at, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+        rename(spark, part, path)
+    except BaseException:
+        fs.delete(at, True)
+        raise
+
+
+def read_file(spark: SparkSession, path: str, start: int = 0, size: int | None = None) -> bytes:
+    """So many bytes of a file from a place on, or all that follow; nothing else of it is read."""
+    at, fs = _opened(spark, path)
+    source = fs.open(at)
+    try:
+        source.seek(start)
+        return bytes(source.readAllBytes() if size is None else source.readNBytes(size))
+    finally:
+        source.close()
 
 
 def drop_staged(*tables: DataFrame) -> None:

@@ -198,3 +198,75 @@ def test_prefix_by_sums_of_ranges(spark, monkeypatch):
         assert sorted(got, key=repr) == sorted(want, key=repr), budget
     plan = prefix(df, ["a", "b"], budget=1700)._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "TakeOrdered" not in plan
+
+
+def test_drops_are_counted(spark, tmp_path, caplog):
+    (tmp_path / "a.jsonl").write_bytes(b'{"text": "one"}\n{"text"\n\n{"n": 1}\n  \n{"text": ""}\n\xff\xfe\n{"text": "two"}\n')
+    (tmp_path / "b.txt").write_bytes("﻿three\n\n \nfour\r\n".encode() + b"\xc3\n")
+    with gzip.open(tmp_path / "_c.ndjson.gz", "wb") as f:
+        f.write(b'\xef\xbb\xbf{"text": "five"}\n{bad\n')
+    (tmp_path / "d.txt").write_bytes(b"")
+    (tmp_path / "e.jsonl.gz").write_bytes(b"no gzip at all")
+    paths = [*files.local_files(tmp_path), str(tmp_path / "missing.txt")]
+    for strict in (False, True):
+        drops = scan.Drops()
+        got = scan.records(spark, paths, strict=strict, drops=drops).collect()
+        assert sorted(r.text for r in got) == ["five", "four", "one", "three", "two"]
+        want = {"lines": 15, "not_utf8": 2, "blank": 4, "malformed": 2, "textless": 2, "silent_files": 3}
+        assert drops.counts() == want
+    drops.warn()
+    assert {r.message for r in caplog.records} >= {"skipped 2 not utf8", "skipped 2 malformed", "skipped 3 silent files"}
+
+
+def test_shards_are_written_and_found(spark, tmp_path):
+    df = spark.createDataFrame([("one\ntwo",), ("é",), (None,), ("",)], "text string").repartition(2)
+    for ending, want in ((".jsonl", ["one\ntwo", "é"]), (".ndjson.gz", ["one\ntwo", "é"]), (".TXT.gz", ["one", "two", "é"])):
+        paths = files.write_shards(df, str(tmp_path / f"x{ending}"), ending)
+        assert paths == files.shards(spark, str(tmp_path / f"x{ending}")) and all(p.endswith(ending) for p in paths)
+        assert sorted(texts(spark, paths)) == sorted(want)
+    with pytest.raises(ValueError, match="ending"):
+        files.write_shards(df, str(tmp_path / "y"), ".parquet")
+    assert not [p for p in tmp_path.iterdir() if p.name.endswith(".part")]
+
+
+def test_headers_alone_are_read(spark, tmp_path):
+    """A file of 3 GB, sparse, and a broken one; a folder of files."""
+    import time
+
+    for k in range(3):
+        head = json.dumps({f"w{k}": {"dtype": "F16", "shape": [3, k], "data_offsets": [0, 6]}, "__metadata__": {}}).encode()
+        with open(tmp_path / f"{k}.safetensors", "wb") as f:
+            f.write(struct.pack("<Q", len(head)) + head)
+            f.truncate(3 << 30 if k == 0 else 4096)
+    began = time.monotonic()
+    got = files.tensor_names(spark, str(tmp_path)).collect()
+    assert sorted((r.name, r.dtype, r.shape) for r in got) == [(f"w{k}", "F16", [3, k]) for k in range(3)]
+    assert time.monotonic() - began < 30
+    (tmp_path / "bad.safetensors").write_bytes(struct.pack("<Q", 50) + b"{}")
+    with pytest.raises(ValueError, match="ends within"):
+        files.tensor_names(spark, str(tmp_path / "bad.safetensors"))
+
+
+def test_artifact_on_a_file_system_of_spark(spark, tmp_path, monkeypatch):
+    from loamworks.operators import bpe
+
+    t = bpe.Tokenizer(((b"a", b"b"), (b"ab", b"\xff")))
+    at = f"file://{tmp_path}/deep/tokenizer.json"
+    t.save(at, spark)
+    t.save(at, spark)
+    assert bpe.Tokenizer.load(at, spark) == t == bpe.Tokenizer.load(f"{tmp_path}/deep/tokenizer.json")
+    folder = f"file://{tmp_path}/whole"
+    for _ in range(2):
+        t.save_folder(spark, folder)
+    assert bpe.Tokenizer.load(folder + "/tokenizer.json", spark) == t
+    rows = spark.read.parquet(folder + "/merges").orderBy("rank").collect()
+    assert tuple((bytes(r.left), bytes(r.right)) for r in rows) == t.merges
+    assert spark.read.parquet(folder + "/vocabulary").count() == t.vocab_size()
+
+    def fails(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(bpe, "rename", fails)
+    with pytest.raises(OSError, match="lost"):
+        t.save_folder(spark, f"file://{tmp_path}/never")
+    assert {p.name for p in tmp_path.iterdir()} == {"deep", "whole"}
