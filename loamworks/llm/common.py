@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_pass(
     df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """mapInArrow in batches of so many rows; texts need small ones, and the session's setting is read when the plan runs."""
+    """mapInArrow in batches of so many rows; texts need small ones, and the session's setting is read when the plan runs.
+
+    Spark bounds a batch in bytes too. A worker gives memory that it no longer uses back before and after its task,
+    as it lives on beside the workers of later stages.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        yield from f(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Gives the free memory of this process back to the system, where it can."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner", together: int | None = None) -> DataFrame:

@@ -364,6 +364,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), *batch.columns[2:]],
                 ["doc_id", "lang_pred", "score", *keep],
             )
+        model._rows = None
+        model._forget()
 
     kinds = dict(narrow.dtypes)
     more = "".join(f", `{c}` {kinds[c]}" for c in keep)
