@@ -10,8 +10,10 @@ the labelling of least total cost.
 
 Fit. Nothing in a page tells its true labels, so classifier and cut are fitted
 in turns, as in iterated graph cuts: the cut labels the blocks of a bounded
-sample of pages (``SAMPLE_PAGES`` of at most ``SAMPLE_CHARS`` characters), a
-logistic regression learns from these labels, and the next cut uses it. Its
+sample of pages (``SAMPLE_PAGES`` of at most ``SAMPLE_CHARS`` characters: of
+the distinct pages those of the least hashes, so neither copies nor the order
+of rows matter), a logistic regression learns from these labels, and the next
+cut uses it. Its
 prior means are ``PRIOR``: the meaning that HTML gives to its elements, and
 usual class names. Any other class word starts at nothing and gets its weight
 from the sample.
@@ -89,7 +91,12 @@ _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
 class Block:
-    __slots__ = ("apart", "depth", "good", "bad", "links", "parent", "tag", "text", "words")
+    __slots__ = ("apart", "depth", "good", "bad", "index", "links", "parent", "spans", "tag", "text")
+
+    @property
+    def words(self) -> frozenset[str]:
+        """The words of the class and id names of all elements around it."""
+        return frozenset(w for w, a, b in self.spans if a <= self.index < b)
 
 
 def _words(attributes: str) -> frozenset[str]:
@@ -106,8 +113,19 @@ _NONE: frozenset[str] = frozenset()
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in its order."""
+    return parsed(page)[0]
+
+
+def parsed(page: str) -> tuple[list[Block], list[tuple[str, int, int]]]:
+    """The text blocks of a page, and the class words as (word, a, b): around the blocks [a, b).
+
+    The spans of one word don't overlap, and each begins with a word of the page; a set of words for each block would
+    take the square of the page's length.
+    """
     out: list[Block] = []
-    # Open elements: tag, number, words around it, within content and boilerplate elements, block depth.
+    spans: list[tuple[str, int, int]] = []
+    around: dict[str, list[int]] = {}  # of an open word: in how many elements, and the block that it begins before
+    # Open elements: tag, number, own words, within content and boilerplate elements, block depth.
     stack: list[tuple[str, int, frozenset[str], bool, bool, int]] = [("", 0, _NONE, False, False, 0)]
     opened: dict[str, list[int]] = {}  # where in the stack each tag is open
     solid = [0]  # where its block elements are
@@ -127,7 +145,8 @@ def blocks(page: str) -> list[Block]:
                 own = stack[solid[-1]]
                 b.text, b.links, b.tag, b.depth = joined, links, own[0], own[5]
                 b.parent = stack[solid[-2]][1] if own[0] == "p" and len(solid) > 1 else own[1]
-                b.words, b.good, b.bad = stack[-1][2:5]
+                b.good, b.bad = stack[-1][3:5]
+                b.index, b.spans = len(out), spans
                 b.apart = (out[-1].depth - lowest) + (b.depth - lowest) if out else 0
                 lowest = b.depth
                 out.append(b)
@@ -145,7 +164,11 @@ def blocks(page: str) -> list[Block]:
     def cut(k: int) -> None:
         nonlocal lowest
         while len(stack) > k:
-            tag = stack.pop()[0]
+            tag, _, words, *_ = stack.pop()
+            for w in words:
+                around[w][0] -= 1
+                if not around[w][0] and (begun := around.pop(w)[1]) < len(out):
+                    spans.append((w, begun, len(out)))
             opened[tag].pop()
             if solid[-1] == len(stack):
                 solid.pop()
@@ -194,11 +217,7 @@ def blocks(page: str) -> list[Block]:
             in_link = 0
         if tag == "a":
             in_link += 1
-        _, _, words, good, bad, depth = stack[-1]
-        if m[5]:
-            new = _words(m[5])
-            if not new <= words:
-                words = words | new
+        good, bad, depth = stack[-1][3:]
         good = good or tag in _GOOD_TAGS
         bad = bad or tag in _BAD_TAGS or tag == "header" and not good
         if not m[5].rstrip().endswith("/"):
@@ -209,16 +228,25 @@ def blocks(page: str) -> list[Block]:
                 depth += 1
             if tag in _WALLS:
                 walls.append(k)
+            words = _words(m[5]) if m[5] else _NONE
+            for w in words:
+                around.setdefault(w, [0, len(out)])[0] += 1
             stack.append((tag, number, words, good, bad, depth))
             number += 1
     else:
         add(page[at:])
     flush()
-    return out
+    spans += [(w, begun, len(out)) for w, (_, begun) in around.items() if begun < len(out)]
+    return out, spans
 
 
 def features(b: Block) -> list[tuple[str, float]]:
-    """What the classifier sees of a block: names and values."""
+    """What the classifier sees of a block: names and values, its class words included."""
+    return own_features(b) + [(f"word:{w}", 1.0) for w in sorted(b.words)]
+
+
+def own_features(b: Block) -> list[tuple[str, float]]:
+    """The same without class words."""
     n = len(b.text)
     density = min(1.0, b.links / n)
     sentences = len(_SENTENCE.findall(b.text))
@@ -235,7 +263,6 @@ def features(b: Block) -> list[tuple[str, float]]:
         out.append(("in:good", 1.0))
     if b.bad:
         out.append(("in:both" if b.good else "in:bad", 1.0))
-    out += [(f"word:{w}", 1.0) for w in sorted(b.words)]
     return out
 
 
@@ -251,6 +278,19 @@ def log_odds(found: list[tuple[str, float]], weights: dict[str, float]) -> float
     return max(-BOUND, min(BOUND, total + high + low))
 
 
+def page_odds(own: list[list[tuple[str, float]]], spans: list[tuple[str, int, int]], weights: dict[str, float]) -> np.ndarray:
+    """``log_odds`` of all blocks of a page, from their own features and the spans of class words."""
+    total = np.array([sum(weights.get(name, 0.0) * value for name, value in x) for x in own])
+    high, low = np.zeros(len(own)), np.zeros(len(own))
+    for word, a, b in spans:
+        w = weights.get(f"word:{word}", 0.0)
+        if w > 0:
+            np.maximum(high[a:b], w, out=high[a:b])
+        elif w < 0:
+            np.minimum(low[a:b], w, out=low[a:b])
+    return np.clip(total + high + low, -BOUND, BOUND)
+
+
 def edges(own: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness between neighbours, and between successive blocks of one parent."""
     out = []
@@ -337,15 +377,23 @@ def minimum_cut(terminal: list[tuple[float, float]], ties: list[tuple[int, int,
 
 def labelled(own: list[list[tuple[str, float]]], ties: list[tuple[int, int, float]], weights: dict[str, float]) -> list[bool]:
     """Which blocks, known by their features, the minimum cut calls content."""
-    odds = [log_odds(x, weights) for x in own]
+    return cut_of([log_odds(x, weights) for x in own], ties)
+
+
+def cut_of(odds: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
     return minimum_cut([(max(x, 0.0), max(-x, 0.0)) for x in odds], ties)
 
 
+def _often(words: Counter) -> list[str]:
+    """The names of the most blocks, ties by name."""
+    return [n for n, k in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:MOST_WORDS] if k >= WORD_BLOCKS]
+
+
 def regression(rows: list[list[tuple[str, float]]], labels: list[bool]) -> dict[str, float]:
     """Logistic regression of the labels, with means PRIOR and the precision PRECISION."""
     names = sorted({n for r in rows for n, _ in r if not n.startswith("word:")} | {n for r in rows for n, _ in r if n in PRIOR})
     words = Counter(n for r in rows for n, _ in r if n not in PRIOR and n.startswith("word:"))
-    names += sorted(n for n, k in words.most_common(MOST_WORDS) if k >= WORD_BLOCKS)
+    names += sorted(_often(words))
     at = {n: i for i, n in enumerate(names)}
     x = np.zeros((len(rows), len(names)))
     for i, r in enumerate(rows):
@@ -368,33 +416,47 @@ def regression(rows: list[list[tuple[str, float]]], labels: list[bool]) -> dict[
 
 def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     """The weights that a bounded sample of pages gives; the prior where there are none."""
-    own = pages.select(text_of(html_col).alias("html"))
-    total = own.count()
-    share = min(1.0, SAMPLE_PAGES / max(total, 1))
-    drawn = F.pmod(F.xxhash64("html", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = own.filter(drawn & (F.length("html") <= SAMPLE_CHARS)).limit(2 * SAMPLE_PAGES)
+    own = pages.select(text_of(html_col).alias("html")).filter(F.length("html") <= SAMPLE_CHARS)
+    own = own.withColumn("h", F.xxhash64("html", F.lit(5)))
+    # The distinct pages of the least hashes, whatever the order of the rows and however often each is there.
+    least = [r.h for r in own.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    if not least:
+        return dict(PRIOR)
+    sample = own.filter(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html")).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for page in batch.column(0).to_pylist():
-                found = blocks(page)
-                out.append(json.dumps([[features(b) for b in found], edges(found)]))
+                found, spans = parsed(page)
+                out.append(json.dumps([[own_features(b) for b in found], sorted(spans), edges(found)]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["page"])
 
-    # At most 2 * SAMPLE_PAGES pages of SAMPLE_CHARS characters, without their texts. In an order of their own.
+    # At most SAMPLE_PAGES pages of SAMPLE_CHARS characters, without their texts. In an order of their own.
     known = [json.loads(x) for x in sorted(r.page for r in arrow_pass(sample, run, "page string").collect())]
+    counts: Counter = Counter()
+    for _, spans, _ in known:
+        for w, a, b in spans:
+            counts[f"word:{w}"] += b - a
+    wanted = {n for n in PRIOR if n in counts} | set(_often(Counter({n: k for n, k in counts.items() if n not in PRIOR})))
+    rows: list[list[tuple[str, float]]] = []
+    for own_, spans, _ in known:
+        made = [[(n, v) for n, v in b] for b in own_]
+        for w, a, b in spans:
+            if f"word:{w}" in wanted:
+                for x in made[a:b]:
+                    x.append((f"word:{w}", 1.0))
+        rows += made
     weights = dict(PRIOR)
-    rows = [[(n, v) for n, v in b] for own_, _ in known for b in own_]
     for _ in range(TURNS if rows else 0):
-        labels = [keep for own_, ties in known for keep in labelled(own_, ties, weights)]
+        labels = [keep for own_, spans, ties in known for keep in cut_of(page_odds(own_, spans, weights).tolist(), ties)]
         weights = regression(rows, labels)
     return weights
 
 
 def main_text(page: str, weights: dict[str, float] = PRIOR) -> str:
-    own = blocks(page)
-    content = labelled([features(b) for b in own], edges(own), weights) if own else []
+    own, spans = parsed(page)
+    content = cut_of(page_odds([own_features(b) for b in own], spans, weights).tolist(), edges(own)) if own else []
     return "\n".join(b.text for b, keep in zip(own, content, strict=True) if keep)
 
 

@@ -110,3 +110,28 @@ def test_the_query_against_all_labellings(spark, tmp_path):
     got = sorted((r.page_id, r.text, r.n_chars) for r in mincut.op5_mincut(spark, str(tmp_path)).collect())
     want = [(i, brute_text(p, weights)) for i, _, p in pages] + [(50, "")] * 2
     assert got == sorted((i, t, len(t)) for i, t in want)
+
+
+def test_nested_class_names_take_time_in_proportion():
+    """Every element around a block names another class; the text in the innermost; and one element of very many words."""
+    n = 40_000
+    start = time.perf_counter()
+    page = "".join(f"<div class='w{''.join(chr(97 + int(c)) for c in str(i))}'>x." for i in range(n))
+    assert len(mincut.main_text(page, mincut.PRIOR | {"in:good": 0.0}).split()) in (0, n)
+    wide = "<div class='" + " ".join(f"{a}{b}{c}" for a in "abcdefghijklm" for b in "abcdefghijklm" for c in "abcdefghijklmnopqrstuvwxyz") + "'>"
+    mincut.main_text(wide + "<p>One." * 40_000)
+    assert time.perf_counter() - start < 20
+    (b,) = mincut.blocks("<div class='one two'><section id=two><p class=three>Text<br>more</p></section></div><i class=four>x</i>")[:1]
+    assert b.words == {"one", "two", "three"}
+
+
+def test_weights_do_not_depend_on_the_order_of_rows_or_on_copies(spark):
+    body = "<p>A sentence that goes on for a while, as they do. And one more of them, of some length.</p>" * 3
+    kinds = [f"<html><article>{body}</article><div class='{w} {w}z'>Buy it now {k}</div></html>" for k in range(30) for w in ("fffq", "tttt", "ggg")]
+    rows = [(i, "u", k) for i, k in enumerate(kinds + kinds[:2] * 3000)]
+    schema = "page_id long, url string, html string"
+    one = mincut.fit(spark.createDataFrame(rows, schema).repartition(3))
+    two = mincut.fit(spark.createDataFrame(rows[::-1], schema).coalesce(1))
+    assert one == two and one["word:fffq"] < -0.1
+    assert mincut.fit(spark.createDataFrame(rows[: len(kinds)], schema)) == one
+    assert mincut.fit(spark.createDataFrame([], schema)) == mincut.PRIOR
