@@ -11,9 +11,10 @@ A fingerprint is the text's length and a sample of the steps, each with eight
 bits of a hash of the last eight characters written. Sampled steps are nested:
 a longer text keeps a subset of the steps of a shorter one, hence any two
 fingerprints can be compared. It holds 128 to 256 samples for all but the
-shortest texts, and one of each whole block for texts of over about a million
-characters; there a last block that ends before the step has none. ``near_pairs`` bands bit samples of fingerprints, and verifies
-all pairs of distinct fingerprints that share a band.
+shortest texts, and one of each block for texts of over about a million
+characters: a last block that ends before the sampled steps has a sample at
+the step of the highest level that it reaches. ``near_pairs`` bands bit samples
+of fingerprints, and verifies all pairs of distinct fingerprints that share a band.
 
 Cases: a null text is empty; an empty text has an empty sample, likeness 1 to
 an empty one and 0 to others; rows of one id are ordered by their text, null
@@ -65,6 +66,8 @@ class _Walk:
         self.level = np.zeros(STEPS, np.int8)
         for v in range(1, _LEVELS + 1):
             self.level[rank < max(1, STEPS >> v)] = v
+        #: The highest level among the first steps, so many.
+        self.highest = np.maximum.accumulate(self.level)
         self.at_level = [np.flatnonzero(self.level >= v) for v in range(_LEVELS + 1)]
 
 
@@ -87,15 +90,17 @@ def level_of(n: int) -> int:
     return min(max(0, math.ceil(math.log2(total / SAMPLES))), _LEVELS) if total else 0
 
 
-def _kept(block: int, level: int) -> bool:
-    """Every block is walked and sampled, whatever the level: the highest one keeps a step of each."""
-    return True
+def block_level(m: int, level: int) -> int:
+    """The level at which a block of m characters of a text of that level is sampled: no higher than one that it reaches."""
+    return min(level, int(walk().highest[steps_for(m) - 1]))
 
 
 def places(n: int, level: int) -> np.ndarray:
     """The sampled steps of a text of n characters, as block * STEPS + step."""
-    own = walk().at_level[level]
-    out = [own[: np.searchsorted(own, steps_for(m))] + b * STEPS for b, m in enumerate(_blocks(n))]
+    out = []
+    for b, m in enumerate(_blocks(n)):
+        own = walk().at_level[block_level(m, level)]
+        out.append(own[: np.searchsorted(own, steps_for(m))] + b * STEPS)
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
@@ -126,7 +131,7 @@ def _walked(texts: list[str], levels_: list[int]) -> list[np.ndarray]:
             parts += [c[b * BLOCK : b * BLOCK + m], end]
             start.append(at)
             steps.append(steps_for(m))
-            level.append(levels_[d])
+            level.append(block_level(m, levels_[d]))
             doc.append(d)
             at += m + 1
     out = [np.zeros(0, np.uint8)] * len(texts)

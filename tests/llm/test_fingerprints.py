@@ -13,14 +13,13 @@ def plain(text):
     w, out, level = fp.walk(), [], fp.level_of(len(text))
     classes = fp._classes(text)
     for b in range(0, len(text), fp.BLOCK):
-        if not fp._kept(b // fp.BLOCK, level):
-            continue
         c = [*classes[b : b + fp.BLOCK].tolist(), 255]
         at, written = 0, []
+        reached = max(int(x) for x in w.level[: fp.steps_for(len(c) - 1)])
         for j in range(fp.steps_for(len(c) - 1)):
             written.append(c[at])
             at += int(w.moves[j][c[at]])
-            if w.level[j] >= min(level, fp._LEVELS):
+            if w.level[j] >= min(level, reached):
                 h = 0
                 for x in written[-8:]:
                     h = (h << 4 ^ int(w.hash[x])) & 0xFFFFFFFF
@@ -163,3 +162,19 @@ def test_near_pairs_on_the_fingerprints_of_documents(spark):
     want = {(a, b) for a in ids for b in ids if a < b and fp.likeness(*mark[a], *mark[b]) >= 0.75} - {(22, 40)}
     assert {(2, 40), (41, 42), (2, 22)} <= want
     assert {(p.a, p.b) for p in fp.near_pairs(made).collect()} == want
+
+
+def test_a_short_last_block_leaves_a_sample():
+    long_ = "x" * (600 * fp.BLOCK)
+    seen = set()
+    for m in (1, 5, 40, 500, 1500, 2500, 4000):
+        for tail in ("q" * m, "r" * m):
+            (own,) = fp.embed([long_ + tail])
+            n = len(long_) + m
+            assert len(own) == len(fp.places(n, fp.level_of(n))) > 600
+            if m > 1:  # one character may have been left behind before the sampled step
+                seen.add((m, own.tobytes()))
+        # The samples of a higher level are among those of a lower one, for each block.
+        for level in range(fp._LEVELS):
+            assert np.isin(fp.places(m, level + 1), fp.places(m, level)).all()
+    assert len(seen) == 12
