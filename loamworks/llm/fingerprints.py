@@ -91,8 +91,11 @@ def level_of(n: int) -> int:
 
 
 def block_level(m: int, level: int) -> int:
-    """The level at which a block of m characters of a text of that level is sampled: no higher than one that it reaches."""
-    return min(level, int(walk().highest[steps_for(m) - 1]))
+    """The level at which a block of m characters of a text of that level is sampled: no higher than one that it reaches.
+
+    About two steps a character read it; what is written after that may be the end alone.
+    """
+    return min(level, int(walk().highest[2 * m - 1]))
 
 
 def places(n: int, level: int) -> np.ndarray:
