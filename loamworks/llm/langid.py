@@ -47,6 +47,8 @@ LEAST_LOG = math.log(1e-290)
 FORWARD_CELLS = 400_000
 _LETTER = regex.compile(r"\p{L}")
 START = "▁"
+#: What ``str.split`` cuts at, so that words are learnt as they are scored.
+WHITE = "(?U)[\\s\x1c-\x1f]+"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -318,7 +320,7 @@ def fit(rows: DataFrame, path: str | None = None) -> Model:
         *(F.when(F.col("lang") == x, F.lit(int(min(1.0, SAMPLE_ROWS / counts[x]) * (1 << 30)))) for x in languages)
     )
     sample = rows.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(2)), F.lit(1 << 30)) < share)
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
+    words = sample.select("lang", F.explode(F.split(F.lower("text"), WHITE)).alias("word"))
     words = words.filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     words = words.cache()
     start = _initial(pieces(path))

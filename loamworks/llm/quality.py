@@ -12,7 +12,7 @@ Labels are learnt from a bounded sample of labelled rows, about
 Cases: a null or empty text has the statistics of zero words and is scored
 like any other; rows of a null label or id are not learnt from; with fewer
 than two classes the score is the share of label 1, 0.5 without labels; labels
-of a document that disagree count each; repeated rows have equal results; an
+of a document that disagree count each, a repeated one once; repeated rows have equal results; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,6 +30,8 @@ from .common import arrow_pass, fold_bucket, table, text_of
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_ROWS = 12_000
+#: Labels that are broadcast.
+MOST_BROADCAST = 3 * SAMPLE_ROWS
 #: Weights of the pooled covariance and of the identity.
 POOLED, IDENTITY = 0.15, 0.02
 NAMES = (
@@ -108,9 +110,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     own = own.filter("label_id IS NOT NULL AND y IN (0, 1)")
     share = min(1.0, SAMPLE_ROWS / max(own.count(), 1))
     own = own.filter(F.pmod(F.xxhash64(F.col("label_id").cast("string"), F.lit(6)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # The sample's size is bounded by SAMPLE_ROWS and what the hash leaves to chance.
+    own = own.distinct()
+    # About SAMPLE_ROWS, or twice as many where labels disagree; more than that, left to chance, are joined by a shuffle.
+    side = F.broadcast(own) if own.count() <= MOST_BROADCAST else own
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.join(F.broadcast(own), F.col("doc_id") == F.col("label_id")).select("text", "y")
+    rows = rows.join(side, F.col("doc_id") == F.col("label_id")).select("text", "y")
     d = len(NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loamworks.llm import langid, quality
 
@@ -134,3 +135,21 @@ def test_a_long_word_is_read_place_by_place():
     word = "".join(r.choice("ab~") for _ in range(langid.LONG + 50))
     whole, at = langid.lattice(word, known, 3), langid._ends(word, known, 3)
     assert [at(j) for j in range(1, len(word) + 2)] == whole[1:]
+
+
+def test_words_are_learnt_as_they_are_cut_for_scoring(spark):
+    """No-break and ideographic blanks, and control characters that Python takes for white space."""
+    text = "one\u00a0two\u3000three\x1cfour five\x85six\u2003seven"
+    found = spark.createDataFrame([(text,)], "text string").select(F.explode(F.split(F.lower("text"), langid.WHITE)).alias("w"))
+    assert [r.w for r in found.collect()] == langid.words_of(text)
+
+
+def test_more_labels_than_the_sample_are_joined_by_a_shuffle(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"word {i} " * (i % 5 + 1) + "!" * (i % 3)) for i in range(60)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    want = {r.doc_id: r.score for r in quality.predict(df, quality.fit(df, lab)).collect()}
+    counted = quality.fit(df, lab.union(lab).union(lab))
+    monkeypatch.setattr(quality, "MOST_BROADCAST", 0)
+    shuffled = quality.fit(df, lab)
+    for model in (counted, shuffled):
+        assert want == pytest.approx({r.doc_id: r.score for r in quality.predict(df, model).collect()})

@@ -1,18 +1,21 @@
 """The registered queries over a small folder, against plain Python over the same rows."""
 
+import functools
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
-from loamworks.llm import fingerprints, oracle, registry
+from loamworks.llm import fingerprints, langid, oracle, quality, registry
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,7 +39,7 @@ def rows():
 def folder(spark, tmp_path_factory):
     at = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(rows(), DOCS).coalesce(2).write.parquet(str(at / "documents.parquet"))
-    labels = [(i, int(i % 4 > 0), 0) for i in range(60)] + [(None, 1, 0), (7, None, 0), (10**6, 0, 0)]
+    labels = [(i, int(i % 4 > 0), 0) for i in range(60)] + [(None, 1, 0), (7, None, 0), (10**6, 0, 0)] + [(5, 1, 1)] * 40
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
     return str(at)
 
@@ -68,6 +71,24 @@ def test_op2(spark, folder):
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text or ""))
         if lang and i < 100:
             assert r.lang_pred == lang
+    # The scores, by a sum over all segmentations of every word on its own.
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = langid.fit(langid.training(docs))
+    known = langid.pieces(model.path)
+    longest = max(map(len, known))
+
+    @functools.cache
+    def word(w):
+        fore = [np.ones(len(model.languages))]
+        for j, ends in enumerate(langid.lattice(w, known, longest)[1:], 1):
+            fore.append(sum(fore[a] * (model.prob[p] if p >= 0 else langid.UNKNOWN) for a, p in ends))
+        return np.log(fore[-1])
+
+    for i, text, *_ in rows():
+        if got[i].lang_pred != "und" and max(map(len, text.split())) < 90:
+            v = sum(word(w) for w in text.lower().split())
+            assert model.languages[int(v.argmax())] == got[i].lang_pred
+            assert math.isclose(1 / np.exp(v - v.max()).sum(), got[i].score, rel_tol=1e-6)
 
 
 def test_op3(spark, folder):
@@ -101,6 +122,26 @@ def test_op6(spark, folder):
     for r in got:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    # The scores, from plain covariances and solved systems.
+    texts = {i: t or "" for i, t, *_ in rows()}
+    x = {i: np.array(quality.statistics(t)) for i, t in texts.items()}
+    learnt = [(i, int(i % 4 > 0)) for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    parts = [np.array([x[i] for i, y in learnt if y == k]) for k in (0, 1)]
+    cov = [np.cov(p.T, bias=True) for p in parts]
+    n = [len(p) for p in parts]
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / sum(n)
+    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-8))
+    eye = np.eye(len(scale))
+    odd = np.outer(scale, scale)
+
+    def density(v, k):
+        own = ((1 - quality.POOLED - quality.IDENTITY) * cov[k] + quality.POOLED * pooled) / odd + quality.IDENTITY * eye
+        far = (v - parts[k].mean(0)) / scale
+        return math.log(n[k] / sum(n)) - 0.5 * np.linalg.slogdet(own)[1] - 0.5 * far @ np.linalg.solve(own, far)
+
+    for r in got:
+        gap = np.clip(density(x[r.doc_id], 0) - density(x[r.doc_id], 1), -500, 500)
+        assert math.isclose(1 / (1 + math.exp(gap)), r.score, rel_tol=1e-4, abs_tol=1e-9), r.doc_id
 
 
 def test_op7(spark, folder):
