@@ -35,3 +35,22 @@ def test_stages_on_planted_rows(spark, tmp_path):
     assert ids[3][7] == rows[7][1]
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
     assert {x.doc_id for x in packed.collect()} == ids[3].keys()
+
+
+def test_empty_tables_clashing_columns_and_a_very_long_text(spark, tmp_path):
+    """Names that stages use inside are no trouble; a text of a million characters is read whole; no rows give none."""
+    more = ", __name string, __nth int, __id long, score string, predicted int, keep string, cid long, sequence_id long"
+    r = random.Random(3)
+    words = ["".join(r.choice("theandisofw") for _ in range(r.randint(2, 8))) for _ in range(500)]
+    text = lambda n: ". ".join(" ".join(r.choice(words) for _ in range(12)).capitalize() for _ in range(n)) + "."
+    rows = [(i, text(6), "en", "s", 1) for i in range(40)] + [(50, text(16_000), "en", "s", 1)]
+    full = [(*x, "a", 1, 2, "b", 3, "c", 4, 5) for x in rows]
+    labels = [(i, 1, 0) for i in range(30)]
+    for name, docs, lab in (("none", [], []), ("some", full, labels)):
+        at = str(tmp_path / name)
+        spark.createDataFrame(docs, COLUMNS + more).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame(lab, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        got = corpus_pipeline.run(spark, at).collect()
+        assert {x.doc_id for x in got} == {x[0] for x in docs}
+    lengths = [x.length for x in got if x.doc_id == 50]
+    assert len(lengths) > 50 and all(n == 4096 for n in sorted(lengths)[1:])
