@@ -3,7 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept. All but the last return the columns of ``documents``. Equal ids, nulls
 in any column and empty texts are allowed: a text without a letter is rejected
-as of no language; of rows that share id and text one stays.
+as of no language; of rows that share id and text one stays; empty tables give
+an empty result, and without labels the classifier keeps every document; texts
+are read whole, however long; columns besides those of ``documents`` are left
+out, whatever their names.
 """
 
 from __future__ import annotations
