@@ -12,7 +12,7 @@ from .operators.bpe import MIN_FREQUENCY, VOCAB_SIZE, train, vocab_size_from_fil
 from .operators.config import SIZES, load_model_config, read_env
 from .operators.progress import Progress, format_bytes
 from .operators.sample import read_sample
-from .sources.files import LocalSource, RemoteSource, folder_lister, folder_sizer, folder_transport
+from .sources.files import LocalSource, RemoteSource, folder_lister, folder_sizer, folder_transport, http_lister, http_sizer, http_transport
 from .sources.scan import Drops, records
 
 log = logging.getLogger("loamworks")
@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
         q.add_argument("--hf-file", action="append", default=[])
         q.add_argument("--cache-dir")
         q.add_argument("--mirror", help="folder that mirrors the datasets, as <repo>/<revision>/")
+        q.add_argument("--endpoint", default=os.environ.get("HF_ENDPOINT", "https://huggingface.co"), help="hub to list and fetch from without a mirror")
 
     d = sub.add_parser("download")
     d.add_argument("--hf-repo", required=True)
@@ -64,12 +65,13 @@ def parser() -> argparse.ArgumentParser:
 
 
 def remote_source(a: argparse.Namespace) -> RemoteSource:
-    mirror = getattr(a, "mirror", None)
-    return RemoteSource(
-        a.hf_repo, a.hf_revision, tuple(a.hf_file), a.cache_dir,
-        folder_lister(mirror) if mirror else None, folder_transport(mirror) if mirror else None,
-        folder_sizer(mirror) if mirror else None,
-    )
+    """From a mirror, else from a hub; a token in HF_TOKEN goes with its requests."""
+    if a.mirror:
+        ways = folder_lister(a.mirror), folder_transport(a.mirror), folder_sizer(a.mirror)
+    else:
+        hub = a.endpoint, os.environ.get("HF_TOKEN")
+        ways = http_lister(*hub), http_transport(*hub), http_sizer(*hub)
+    return RemoteSource(a.hf_repo, a.hf_revision, tuple(a.hf_file), a.cache_dir, *ways)
 
 
 def read_prompt(prompt: str) -> str:

@@ -6,11 +6,16 @@ import json
 import os
 import re
 import shutil
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from http.client import IncompleteRead
 from pathlib import Path
+from urllib.error import HTTPError, URLError
+from urllib.parse import quote
+from urllib.request import Request, urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +101,89 @@ def folder_sizer(root: str | Path) -> Sizer:
     return lambda repo, revision, name: Path(root, repo, revision, name).stat().st_size
 
 
+#: Attempts at a request, and the seconds before the second one; each later wait is twice as long.
+ATTEMPTS, WAIT = 5, 0.5
+TIMEOUT = 60
+
+
+def _retried(attempt: Callable[[], object]) -> object:
+    """What the attempt gives; a fault of the network or the server is tried again, an answer such as 404 is not."""
+    for k in range(ATTEMPTS):
+        try:
+            return attempt()
+        except HTTPError as e:
+            if e.code < 500 and e.code != 429 or k == ATTEMPTS - 1:
+                raise
+        except (URLError, TimeoutError, ConnectionError, IncompleteRead):
+            if k == ATTEMPTS - 1:
+                raise
+        time.sleep(WAIT * 2**k)
+    raise AssertionError
+
+
+def _request(url: str, token: str | None, method: str = "GET", **headers: str) -> Request:
+    return Request(url, method=method, headers={k.replace("_", "-"): v for k, v in headers.items()} | ({"Authorization": f"Bearer {token}"} if token else {}))
+
+
+def _file_url(endpoint: str, repo: str, revision: str, name: str) -> str:
+    return f"{endpoint.rstrip('/')}/datasets/{quote(repo)}/resolve/{quote(revision, safe='')}/{quote(name)}"
+
+
+def http_lister(endpoint: str, token: str | None = None) -> Lister:
+    """Lists a dataset by the public hub API: the names of the siblings of a revision."""
+
+    def names(repo: str, revision: str) -> list[str]:
+        def ask() -> list[str]:
+            url = f"{endpoint.rstrip('/')}/api/datasets/{quote(repo)}/revision/{quote(revision, safe='')}"
+            with urlopen(_request(url, token), timeout=TIMEOUT) as r:
+                return [x["rfilename"] for x in json.load(r)["siblings"]]
+
+        return _retried(ask)
+
+    return names
+
+
+def http_sizer(endpoint: str, token: str | None = None) -> Sizer:
+    def size(repo: str, revision: str, name: str) -> int:
+        def ask() -> int:
+            with urlopen(_request(_file_url(endpoint, repo, revision, name), token, "HEAD"), timeout=TIMEOUT) as r:
+                return int(r.headers.get("Content-Length") or 0)
+
+        return _retried(ask)
+
+    return size
+
+
+def http_transport(endpoint: str, token: str | None = None) -> Transport:
+    """Fetches a file in parts; what a broken connection left behind is kept, and the rest asked for."""
+
+    def fetch(repo: str, revision: str, name: str, to: Path, advanced: Callable[[int], None]) -> None:
+        url, done = _file_url(endpoint, repo, revision, name), 0
+        with open(to, "wb") as f:
+
+            def ask() -> None:
+                nonlocal done
+                more = {"Range": f"bytes={done}-"} if done else {}
+                with urlopen(_request(url, token, **more), timeout=TIMEOUT) as r:
+                    if done and r.status != 206:
+                        # The server knows no ranges: from the start, and what was told of stays told.
+                        f.seek(0)
+                        f.truncate()
+                        done = 0
+                    left = int(r.headers["Content-Length"]) if r.headers.get("Content-Length") else None
+                    while part := r.read(1 << 20):
+                        f.write(part)
+                        done += len(part)
+                        left = None if left is None else left - len(part)
+                        advanced(len(part))
+                    if left:
+                        raise IncompleteRead(b"", left)
+
+            _retried(ask)
+
+    return fetch
+
+
 @dataclass(frozen=True)
 class RemoteSource:
     """A dataset at a pinned revision; files empty means all its shards."""

@@ -1,6 +1,9 @@
 import gzip
+import http.server
 import json
 import struct
+import threading
+from urllib.error import HTTPError
 
 import pytest
 from pyspark.sql import functions as F
@@ -270,3 +273,74 @@ def test_artifact_on_a_file_system_of_spark(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError, match="lost"):
         t.save_folder(spark, f"file://{tmp_path}/never")
     assert {p.name for p in tmp_path.iterdir()} == {"deep", "whole"}
+
+
+class Hub(http.server.BaseHTTPRequestHandler):
+    """A hub with faults: it breaks off every first answer, and is busy once."""
+
+    files: dict[str, bytes] = {}
+    ranges, seen, broken, busy = True, [], set(), {"a.txt"}
+
+    def do_HEAD(self):
+        self._answer(False)
+
+    def do_GET(self):
+        self._answer(True)
+
+    def _answer(self, body):
+        kind = type(self)
+        kind.seen.append((self.command, self.path, self.headers.get("Range"), self.headers.get("Authorization")))
+        if self.path == "/api/datasets/o/r/revision/v%2F1":
+            data = json.dumps({"siblings": [{"rfilename": n} for n in kind.files]}).encode()
+        else:
+            name = self.path.removeprefix("/datasets/o/r/resolve/v%2F1/").replace("%20", " ")
+            if name in kind.busy:
+                kind.busy.discard(name)
+                self.send_error(503)
+                return
+            if name not in kind.files:
+                self.send_error(404)
+                return
+            data = kind.files[name]
+        start = int(self.headers["Range"][6:-1]) if kind.ranges and self.headers.get("Range") else 0
+        self.send_response(206 if start else 200)
+        self.send_header("Content-Length", str(len(data) - start))
+        self.end_headers()
+        if body:
+            cut = len(data) // 2 if self.path not in kind.broken and "/resolve/" in self.path and len(data) > 100 else len(data)
+            kind.broken.add(self.path)
+            self.wfile.write(data[start:cut])
+
+    def log_message(self, *_):
+        pass
+
+
+@pytest.mark.parametrize("ranges", [True, False])
+def test_a_hub_over_http(tmp_path, monkeypatch, capsys, ranges):
+    """Listing, sizes, broken connections gone on with, a busy server, a missing file; by the command too."""
+    from loamworks import cli
+
+    monkeypatch.setattr(files, "WAIT", 0.01)
+    Hub.files = {"a.txt": b"one\n" * 500_000, "sub/b c.jsonl": b'{"text": "two"}\n' * 9, "README.md": b"no"}
+    Hub.ranges, Hub.seen, Hub.broken, Hub.busy = ranges, [], set(), {"a.txt"}
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Hub)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    hub = f"http://127.0.0.1:{server.server_port}"
+    try:
+        way = {"lister": files.http_lister(hub, "secret"), "transport": files.http_transport(hub, "secret"), "sizer": files.http_sizer(hub)}
+        s = files.RemoteSource("o/r", "v/1", cache_dir=str(tmp_path / "x"), **way)
+        assert s.names() == ["a.txt", "sub/b c.jsonl"]
+        p = progress.Progress()
+        paths = s.download(p)
+        assert [open(x, "rb").read() for x in paths] == [Hub.files["a.txt"], Hub.files["sub/b c.jsonl"]]
+        assert paths == s.resolve() and p.downloaded == 2
+        asked = [x for x in Hub.seen if x[0] == "GET" and x[1].endswith("a.txt")]
+        assert asked[-1][2] == "bytes=1000000-" and asked[-1][3] == "Bearer secret"
+        assert p.run_bytes >= 2_000_144 and (p.run_bytes == 2_000_144 or not ranges)
+        with pytest.raises(HTTPError):
+            files.RemoteSource("o/r", "v/1", ("missing.txt",), str(tmp_path / "x"), **way).download()
+        assert not [x for x in (tmp_path / "x").rglob("*") if x.name == "missing.txt"]
+        assert cli.main(["download", "--hf-repo", "o/r", "--hf-revision", "v/1", "--cache-dir", str(tmp_path / "y"), "--endpoint", hub]) == 0
+        assert "2 files: 2 downloaded" in capsys.readouterr().out
+    finally:
+        server.shutdown()
