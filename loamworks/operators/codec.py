@@ -21,8 +21,8 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL_TOKENS)) + ")")
 #: White space and what follows it, up to white space that begins with one of these: there every word ends.
 _CHUNK = re.compile(r"\s+\S*(?:[^\S\t-\r ]\s*\S*)*|\S+(?:[^\S\t-\r ]\s*\S*)*")
-#: Words, and chunks of words, that a worker remembers.
-REMEMBERED = 500_000
+#: Chunks of words that a worker remembers, and words.
+REMEMBERED, REMEMBERED_WORDS = 1_000_000, 100_000
 #: Characters of the longest word that is remembered, and of the longest chunk; longer ones are encoded each time.
 LONGEST, LONGEST_CHUNK = 64, 256
 #: Characters of texts that are encoded together.
@@ -41,6 +41,9 @@ class Codec:
         for i, p in enumerate(tokenizer.merges):
             self.ranks.setdefault(p, i)
         self.known: dict[str, list[int]] = {}
+        pairs = sorted((self.ids[a] << 32 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items())
+        #: Pairs of ids in order, and the rank and the product of each.
+        self._pairs, self._rank, self._made = (np.array([p[i] for p in pairs], np.int64) for i in range(3))
         self._bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
         self._ends = offsets(np.array([len(t) for t in self.tokens], np.int64))
         self._forget()
@@ -55,7 +58,7 @@ class Codec:
         if got is None:
             got = [self.ids[p] for p in self.merged([bytes([b]) for b in word.encode("utf-8")])]
             if len(word) <= LONGEST:
-                if len(self.known) > REMEMBERED:
+                if len(self.known) > REMEMBERED_WORDS:
                     self.known.clear()
                 self.known[word] = got
         return got
@@ -63,6 +66,43 @@ class Codec:
     def merged(self, parts: list[bytes]) -> list[bytes]:
         return merge_ranked(parts, self.ranks)
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of many words: each step merges, in every word that has one, all pairs of the word's least rank."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        out: list[list[int]] = [[] for _ in words]
+        own = np.arange(len(words))[sizes > 0]
+        sizes = sizes[sizes > 0]
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64) + len(SPECIAL_TOKENS)
+        never = np.int64(1 << 62)
+        while len(own):
+            starts = np.cumsum(sizes) - sizes
+            rank = np.full(len(flat), never)
+            codes = (flat[:-1] << 32) | flat[1:]
+            at = np.minimum(np.searchsorted(self._pairs, codes), max(len(self._pairs) - 1, 0))
+            if len(self._pairs):
+                rank[:-1] = np.where(self._pairs[at] == codes, self._rank[at], never)
+            rank[starts[1:] - 1] = never
+            least = np.minimum.reduceat(rank, starts)
+            hit = (rank == np.repeat(least, sizes)) & (rank < never)
+            # Of pairs that overlap, as in a run of one symbol, every second one.
+            place = np.arange(len(hit))
+            first = np.where(hit & ~np.r_[False, hit[:-1]], place, 0)
+            hit &= (place - np.maximum.accumulate(first)) % 2 == 0
+            merged = np.flatnonzero(hit)
+            flat[merged] = self._made[at[merged]] if len(merged) else 0
+            stay = np.ones(len(flat), bool)
+            stay[merged + 1] = False
+            done = least == never
+            if done.any():
+                ends = starts + sizes
+                listed = flat.tolist()
+                for k in np.flatnonzero(done).tolist():
+                    out[own[k]] = listed[starts[k] : ends[k]]
+                stay &= ~np.repeat(done, sizes)
+            sizes = np.add.reduceat(stay, starts, dtype=np.int64)[~done]
+            own, flat = own[~done], flat[stay]
+        return out
+
     def encode(self, text: str) -> list[int]:
         """No tokens are added; the reserved ones in the text are whole tokens."""
         out: list[int] = []
@@ -84,7 +124,17 @@ class Codec:
         return [c for part in _SPECIAL.split(text) for c in ((part,) if part in SPECIAL_TOKENS else _CHUNK.findall(part))]
 
     def _learn(self, chunks: list[str]) -> None:
-        ids = [[SPECIAL_TOKENS.index(c)] if c in SPECIAL_TOKENS else list(chain.from_iterable(map(self.word, _WORDS.findall(c)))) for c in chunks]
+        cut = [[] if c in SPECIAL_TOKENS else _WORDS.findall(c) for c in chunks]
+        new = [w for w in set(chain.from_iterable(cut)).difference(self.known) if len(w) <= LONGEST]
+        made = dict(zip(new, self.merge_all([w.encode("utf-8") for w in new]), strict=True))
+
+        def of(word: str) -> list[int]:
+            return got if (got := made.get(word)) is not None else self.word(word)
+
+        ids = [
+            of(own[0]) if len(own) == 1 else list(chain.from_iterable(map(of, own))) if own else [SPECIAL_TOKENS.index(c)]
+            for c, own in zip(chunks, cut, strict=True)
+        ]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         self.slots.update(zip(chunks, range(self._at.n, self._at.n + len(ids)), strict=True))
         self._at.add(self._ids.n + np.cumsum(sizes) - sizes)

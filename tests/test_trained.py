@@ -100,3 +100,17 @@ def test_batches_equal_texts_one_by_one(monkeypatch):
         assert own.decode_all(sizes, ids) == part
     with pytest.raises(IndexError):
         own.decode_all(own.encode_all(["a"])[0], own.encode_all(["a"])[1] + 10**6)
+
+
+def test_merges_of_many_words_at_once():
+    rnd = random.Random(7)
+    for _ in range(60):
+        merges, tokens = [], [b"a", b"b", b"c"]
+        for _ in range(rnd.randint(0, 14)):
+            pair = rnd.choice(tokens), rnd.choice(tokens)
+            tokens.append(b"".join(pair))
+            merges.append(pair)
+        own = codec.Codec(bpe.Tokenizer(tuple(merges)))
+        words = ["".join(rnd.choice("abc") for _ in range(rnd.choice([0, 1, 2, 3, 9, 30]))).encode() for _ in range(40)] + [b"aaaaa", b"a" * 64]
+        assert own.merge_all(words) == [[own.ids[p] for p in own.merged([bytes([b]) for b in w])] for w in words]
+    assert codec.Codec(bpe.Tokenizer(())).merge_all([]) == []
