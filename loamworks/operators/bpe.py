@@ -28,7 +28,7 @@ SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
 VOCAB_SIZE = 16_000
 MIN_FREQUENCY = 2
 #: Symbols of distinct words, or of their fragments, that the driver holds at once: about 200 bytes each.
-MOST_SYMBOLS = 4_000_000
+MOST_SYMBOLS = 1_000_000
 FLOOR = len(SPECIAL_TOKENS) + 256
 
 
