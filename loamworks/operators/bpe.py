@@ -16,12 +16,14 @@ import uuid
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens, symbol_list, symbols
 from ..staging import delete, read_file, rename, write_file
+from .ragged import spread
 
 #: The reserved tokens, with ids from 0.
 SPECIAL_TOKENS = ("<|pad|>", "<|bos|>", "<|eos|>", "<|im_start|>", "<|im_end|>")
@@ -185,6 +187,49 @@ def merge_ranked(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> l
     return [p for p in parts if p]
 
 
+def merge_flat(
+    flat: np.ndarray, sizes: np.ndarray, pairs: np.ndarray, ranks: np.ndarray, made: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_ranked`` for many words at once, none empty: flat holds their symbols as numbers, so many for each word.
+
+    pairs (l << 32 | r, in order) have ranks and products. Each step merges, in every word, all pairs of its least rank.
+    """
+    own, ids, lengths, parts = np.arange(len(sizes)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [flat[:0]]
+    never = np.int64(1 << 62)
+    while len(own):
+        starts = np.cumsum(sizes) - sizes
+        rank = np.full(len(flat), never)
+        codes = (flat[:-1] << 32) | flat[1:]
+        at = np.minimum(np.searchsorted(pairs, codes), max(len(pairs) - 1, 0))
+        if len(pairs):
+            rank[:-1] = np.where(pairs[at] == codes, ranks[at], never)
+        rank[starts[1:] - 1] = never
+        least = np.minimum.reduceat(rank, starts)
+        hit = (rank == np.repeat(least, sizes)) & (rank < never)
+        # Of pairs that overlap, as in a run of one symbol, every second one.
+        place = np.arange(len(hit))
+        first = np.where(hit & ~np.r_[False, hit[:-1]], place, 0)
+        hit &= (place - np.maximum.accumulate(first)) % 2 == 0
+        merged = np.flatnonzero(hit)
+        flat = flat.copy()
+        if len(merged):
+            flat[merged] = made[at[merged]]
+        stay = np.ones(len(flat), bool)
+        stay[merged + 1] = False
+        done = least == never
+        if done.any():
+            whole = np.repeat(done, sizes)
+            ids.append(own[done])
+            lengths.append(sizes[done])
+            parts.append(flat[whole])
+            stay &= ~whole
+        sizes = np.add.reduceat(stay, starts, dtype=np.int64)[~done]
+        own, flat = own[~done], flat[stay]
+    size = np.concatenate(lengths)
+    order = np.argsort(np.concatenate(ids), kind="stable")
+    return np.concatenate(parts)[spread((np.cumsum(size) - size)[order], size[order])], size[order]
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """Reserved tokens, 256 bytes, then one token for each merge; equal symbols share the first id."""

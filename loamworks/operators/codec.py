@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import SPECIAL_TOKENS, Tokenizer, merge_ranked
+from .bpe import SPECIAL_TOKENS, Tokenizer, merge_flat, merge_ranked
 from .ragged import Growing, offsets, spread
 
 LOW, HIGH = 3.0, 4.5
@@ -69,39 +69,11 @@ class Codec:
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
         """The ids of many words: each step merges, in every word that has one, all pairs of the word's least rank."""
         sizes = np.array([len(w) for w in words], np.int64)
-        out: list[list[int]] = [[] for _ in words]
-        own = np.arange(len(words))[sizes > 0]
-        sizes = sizes[sizes > 0]
         flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64) + len(SPECIAL_TOKENS)
-        never = np.int64(1 << 62)
-        while len(own):
-            starts = np.cumsum(sizes) - sizes
-            rank = np.full(len(flat), never)
-            codes = (flat[:-1] << 32) | flat[1:]
-            at = np.minimum(np.searchsorted(self._pairs, codes), max(len(self._pairs) - 1, 0))
-            if len(self._pairs):
-                rank[:-1] = np.where(self._pairs[at] == codes, self._rank[at], never)
-            rank[starts[1:] - 1] = never
-            least = np.minimum.reduceat(rank, starts)
-            hit = (rank == np.repeat(least, sizes)) & (rank < never)
-            # Of pairs that overlap, as in a run of one symbol, every second one.
-            place = np.arange(len(hit))
-            first = np.where(hit & ~np.r_[False, hit[:-1]], place, 0)
-            hit &= (place - np.maximum.accumulate(first)) % 2 == 0
-            merged = np.flatnonzero(hit)
-            flat[merged] = self._made[at[merged]] if len(merged) else 0
-            stay = np.ones(len(flat), bool)
-            stay[merged + 1] = False
-            done = least == never
-            if done.any():
-                ends = starts + sizes
-                listed = flat.tolist()
-                for k in np.flatnonzero(done).tolist():
-                    out[own[k]] = listed[starts[k] : ends[k]]
-                stay &= ~np.repeat(done, sizes)
-            sizes = np.add.reduceat(stay, starts, dtype=np.int64)[~done]
-            own, flat = own[~done], flat[stay]
-        return out
+        full = sizes > 0
+        flat, sizes[full] = merge_flat(flat, sizes[full], self._pairs, self._rank, self._made)
+        listed, upto = flat.tolist(), offsets(sizes).tolist()
+        return [listed[a:b] for a, b in zip(upto, upto[1:], strict=False)]
 
     def encode(self, text: str) -> list[int]:
         """No tokens are added; the reserved ones in the text are whole tokens."""

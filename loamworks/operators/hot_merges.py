@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import conf_held, delete, stage_path
-from .bpe import MIN_FREQUENCY, MOST_SYMBOLS, merge_ranked, merges_of
+from .bpe import MIN_FREQUENCY, MOST_SYMBOLS, merge_flat, merges_of
 
 #: Hot pairs of the first round, and at most; with more of one count the round makes a single merge.
 HOT_PAIRS, MOST_HOT = 4_096, 1_000_000
@@ -69,8 +69,11 @@ def as_symbols(words: DataFrame) -> DataFrame:
             ends = np.r_[0, np.cumsum(lengths)].astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(data)), batch.column(1)], ["a", "n"])
 
+    spark = words.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     own = words.filter(F.octet_length("w") > 1).select(F.col("w").cast("binary").alias("w"), F.col("n").cast("long").alias("n"))
-    return own.mapInArrow(run, _WORDS)
+    # Counted words come in few partitions, for their size; the work on them is dealt evenly.
+    return own.repartition(parts, "w").mapInArrow(run, _WORDS)
 
 
 def pair_sums(words: DataFrame) -> DataFrame:
@@ -78,9 +81,8 @@ def pair_sums(words: DataFrame) -> DataFrame:
 
     def sums(codes: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         keys, back = np.unique(np.concatenate(codes), return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, back, np.concatenate(n))
-        return keys, total
+        # Doubles hold sums of counts up to 2**53 exactly.
+        return keys, np.bincount(back, np.concatenate(n), len(keys)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -128,7 +130,10 @@ def merged(words: DataFrame, symbols: list[bytes], merges: list[tuple[bytes, byt
     """The words after these merges; words of one symbol are done and leave. last_alone: the last merge comes after all others."""
     codes = {x: i for i, x in enumerate(symbols)}
     first = merges[:-1] if last_alone else merges
-    rounds = [{p: i for i, p in enumerate(first)}, {merges[-1]: 0}][: 1 + last_alone]
+    rounds = []
+    for own in (first, merges[-1:])[: 1 + last_alone]:
+        ranked = sorted({codes[a] << 32 | codes[b]: (i, codes[a + b]) for i, (a, b) in reversed(list(enumerate(own)))}.items())
+        rounds.append(tuple(np.array([x[k] for x in ((p, *v) for p, v in ranked)], np.int64) for k in range(3)))
     touched = np.unique(np.array([codes[a] << 32 | codes[b] for a, b in merges if a in codes and b in codes], np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,15 +143,11 @@ def merged(words: DataFrame, symbols: list[bytes], merges: list[tuple[bytes, byt
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             hit = np.zeros(batch.num_rows, bool)
             hit[owner[np.flatnonzero(inside & _member(pairs, touched))]] = True
-            listed = flat.tolist()
-            made: list[int] = []
             sizes = np.diff(offsets)
-            for i in np.flatnonzero(hit).tolist():
-                parts = [symbols[x] for x in listed[offsets[i] : offsets[i + 1]]]
-                for ranks in rounds:
-                    parts = merge_ranked(parts, ranks)
-                made += [codes[x] for x in parts]
-                sizes[i] = len(parts)
+            made, size = flat[hit[owner]].astype(np.int64), sizes[hit]
+            for own in rounds:
+                made, size = merge_flat(made, size, *own)
+            sizes[hit] = size
             # Changed words and unchanged ones, back in their places, without those of one symbol.
             new_owner = np.repeat(np.arange(batch.num_rows), sizes)
             values = np.empty(len(new_owner), np.int32)
@@ -184,7 +185,7 @@ def spark_merges(
         return found
 
     try:
-        with conf_held(spark, _ARROW_ROWS, "20000"):
+        with conf_held(spark, _ARROW_ROWS, "50000"):
             now = stage(as_symbols(words), _WORDS)
             while len(out) < target:
                 pairs = stage(pair_sums(now).filter(F.col("c") >= min_frequency), "p long, c long")
