@@ -109,14 +109,14 @@ def test_model(spark):
 
 def test_config(tmp_path):
     base = SIZES["gpt2-small"]
-    (tmp_path / "m.toml").write_text("d_model = 1024\nnum_heads = 16\nd_ff = 1111\n")
-    env = parse_env("P_", [("P_D_FF", "2222"), ("P_NORM_FIRST", "true"), ("Q_X", "1")])
-    assert env == {"d_ff": 2222, "norm_first": True} and parse_env("P_", [("P_D_FF", "not-a-number")]) == {"d_ff": "not-a-number"}
+    (tmp_path / "m.toml").write_text("d_model = 1024\nnum_heads = 16\nd_ff = 1408\n")
+    env = parse_env("P_", [("P_D_FF", "1792"), ("P_NORM_FIRST", "true"), ("Q_X", "1")])
+    assert env == {"d_ff": 1792, "norm_first": True} and parse_env("P_", [("P_D_FF", "wide")]) == {"d_ff": "wide"}
     c = load_model_config(base, str(tmp_path / "m.toml"), env, {"num_layers": 3})
-    assert (c.d_model, c.num_heads, c.d_ff, c.num_layers, c.context_length) == (1024, 16, 2222, 3, 1024)
-    assert load_model_config(base, None, {}, {"d_ff": 3333}).d_ff == 3333
+    assert (c.d_model, c.num_heads, c.d_ff, c.num_layers, c.context_length) == (1024, 16, 1792, 3, 1024)
+    assert load_model_config(base, None, {}, {"d_ff": 2560}).d_ff == 2560
     with pytest.warns(UserWarning, match="300"):
-        assert load_model_config(base, None, {}, {"vocab_size": 9999}, 300).vocab_size == 300
+        assert load_model_config(base, None, {}, {"vocab_size": 7777}, 300).vocab_size == 300
     with pytest.raises(ValueError, match="invalid model configuration"):
         LayeredConfig().merge({"d_model": 768}).extract()
     with pytest.raises(FileNotFoundError):
@@ -142,8 +142,8 @@ def test_cli(spark, tmp_path, capsys, monkeypatch):
     a = p.parse_args(["tokenizer", "--hf-repo", "o/r", "--hf-file", "a", "--hf-file", "b"])
     assert (a.hf_revision, a.text_field, a.vocab_size, a.min_frequency, a.hf_file) == ("main", "text", 16000, 2, ["a", "b"])
     with pytest.warns(UserWarning):
-        assert cli.resolve_train(p.parse_args(["train", "--vocab-size", "9999", "--tokenizer", out]), {}).vocab_size == 300
-    for argv in (["train"], ["generate", "hello"], ["serve"]):
+        assert cli.resolve_train(p.parse_args(["train", "--vocab-size", "7777", "--tokenizer", out]), {}).vocab_size == 300
+    for argv in (["train"], ["generate", "Once"], ["serve"]):
         with pytest.raises(NotImplementedError):
             cli.main(argv)
     (tmp_path / "empty.txt").write_text("\n")
