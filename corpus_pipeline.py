@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamworks.llm import jaccard, langid, packing, quality, substrings
-from loamworks.llm.common import row_key, staged, table
+from loamworks.llm.common import drop_staged, row_key, staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document stays if its best language has at least this share of the likelihood.
@@ -85,7 +85,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = staged(docs)
+            if i:
+                drop_staged(before)
     return docs

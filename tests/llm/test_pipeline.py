@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+from loamworks.staging import exists
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -54,3 +55,19 @@ def test_empty_tables_clashing_columns_and_a_very_long_text(spark, tmp_path):
         assert {x.doc_id for x in got} == {x[0] for x in docs}
     lengths = [x.length for x in got if x.doc_id == 50]
     assert len(lengths) > 50 and all(n == 4096 for n in sorted(lengths)[1:])
+
+
+def test_tables_of_former_stages_are_deleted(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, "t", "en", "s", 1) for i in range(9)], COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    paths = []
+    real = corpus_pipeline.staged
+
+    def recording(df):
+        out = real(df)
+        paths.append(out.staged_path)
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "staged", recording)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(k), lambda s, docs, d: docs.filter("doc_id > 0")) for k in range(4)])
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert [exists(spark, p) for p in paths] == [False, False, True] and got.count() == 8
