@@ -1,6 +1,7 @@
 """The decoder against a second form of it, written place by place; weights in files; losses over documents."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -121,3 +122,42 @@ def test_loss_over_documents(spark, tmp_path):
         total += loss
     # Untrained, it guesses about evenly.
     assert abs(total / sum(n for n, _ in got.values()) - math.log(tokenizer.vocab_size())) < 2
+
+
+def test_losses_take_little_more_than_the_logits():
+    """A power in the activation took more than half of the time."""
+    config = ModelConfig(761, 128, 32, 64, 1, 2, True)
+    made, r = model.Decoder(config), np.random.default_rng(1)
+    sequences = [r.integers(0, 761, 128) for _ in range(160)]
+    x = np.ones((256, 32), np.float32)
+
+    def least(f):
+        took = []
+        for _ in range(4):
+            t = time.process_time()
+            f()
+            took.append(time.process_time() - t)
+        return min(took)
+
+    logits = least(lambda: [np.exp(x @ made.tensors["head"]) for _ in range(80)])
+    assert least(lambda: made.losses(sequences)) < 8 * logits
+
+
+def test_losses_of_large_logits():
+    config = ModelConfig(50, 16, 8, 16, 1, 2, True)
+    tensors = weights.initial(config)
+    tensors["head"] = tensors["head"] * np.float32(3000)
+    made, tokens = model.Decoder(config, tensors=tensors), np.arange(10) * 3
+    z = made.forward(tokens[None])[0].astype(np.float64)[:-1]
+    assert z.max() > 100
+    want = (np.log(np.exp(z - z.max(-1, keepdims=True)).sum(-1)) + z.max(-1) - z[np.arange(9), tokens[1:]]).sum()
+    assert made.losses([tokens])[0] == pytest.approx(want, rel=1e-4)
+
+
+def test_windows_do_not_carry_all_ids(spark):
+    docs = spark.createDataFrame([(1, list(range(10))), (2, [5]), (3, [])], "doc_id long, ids array<int>")
+    cut = model.windows(docs, 4)
+    got = [(r.doc_id, r.nth, r.tokens) for r in cut.orderBy("doc_id", "nth").collect()]
+    assert got == [(1, 0, [0, 1, 2, 3]), (1, 1, [3, 4, 5, 6]), (1, 2, [6, 7, 8, 9])]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(" in plan and "sequence" in plan.split("posexplode(")[1].splitlines()[0]
