@@ -114,3 +114,22 @@ def test_merges_of_many_words_at_once():
         words = ["".join(rnd.choice("abc") for _ in range(rnd.choice([0, 1, 2, 3, 9, 30]))).encode() for _ in range(40)] + [b"aaaaa", b"a" * 64]
         assert own.merge_all(words) == [[own.ids[p] for p in own.merged([bytes([b]) for b in w])] for w in words]
     assert codec.Codec(bpe.Tokenizer(())).merge_all([]) == []
+
+
+def test_frequent_chunks_stay_and_the_rest_is_bounded(monkeypatch):
+    monkeypatch.setattr(codec, "REMEMBERED", 100)
+    own = codec.Codec(bpe.Tokenizer(()))
+    for k in range(30):
+        texts = ["often " * 5 + " ".join(f"u{k}x{i}" for i in range(40))] if k % 3 else [" ".join(f"v{k}x{i}" for i in range(70))]
+        sizes, ids = own.encode_all(texts)
+        assert own.decode_all(sizes, ids) == texts
+        assert len(own.slots) <= 130 and own._met.n == own._at.n == own._size.n == len(own.slots)
+    assert " often" in own.slots and codec.REMEMBERED_WORDS <= 100_000
+
+
+def test_words_of_forgotten_chunks_are_not_merged_again():
+    own = codec.Codec(bpe.Tokenizer(()))
+    own.encode_all(["one two two"])
+    own._forget()
+    own.merge_all = lambda words: [] if not words else 1 / 0
+    assert own.encode_all(["one two two"])[0].tolist() == [11]
