@@ -156,9 +156,14 @@ def round_trip(s: SparkSession, d: str) -> DataFrame:
 
 
 def report(s: SparkSession, d: str) -> DataFrame:
-    counts = _with_tokens(s, d).agg(F.sum(F.length("text")).alias("chars"), F.sum("n_tokens").alias("n_tokens"))
-    same = round_trip(s, d).agg(F.bool_and("same").alias("round_trips"))
-    return counts.crossJoin(same).select(  # two rows of one aggregate each
+    docs = _docs(s, d)
+    tokenizer = _first_tokenizer(docs)
+    back = codec.decode(codec.encode(docs, tokenizer), tokenizer)
+    total = back.agg(
+        F.sum(F.length("text")).alias("chars"), F.sum(F.size("ids").cast("bigint")).alias("n_tokens"),
+        F.bool_and(F.col("decoded") == F.col("text")).alias("round_trips"),
+    )
+    return total.select(
         F.lit(bpe.FLOOR + MERGES).cast("bigint").alias("vocab_size"), _ratio("chars", "n_tokens").alias("chars_per_token"), "round_trips"
     )
 

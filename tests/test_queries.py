@@ -24,3 +24,11 @@ def test_spark_equals_sql(spark, duck, name):
     assert sorted(names) == cols
     want = sorted(str(tuple(r[names.index(c)] for c in cols)) for r in found.fetchall())
     assert sorted(str(tuple(r)) for r in df.select(*cols).collect()) == want
+
+
+def test_report_trains_and_encodes_once(spark, monkeypatch):
+    calls = []
+    for module, name in ((queries.bpe, "counted_merges"), (queries.codec, "encode")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name, **b: calls.append(n) or f(*a, **b))
+    queries.report(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(calls) == ["counted_merges", "encode"]
