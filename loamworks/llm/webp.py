@@ -619,28 +619,47 @@ def _edges(same: np.ndarray) -> np.ndarray:
     return np.flatnonzero(wide[1:] != wide[:-1])
 
 
-def _matches(flat: np.ndarray, width: int, least: int = 12) -> list[tuple[int, int, int]]:
-    """Disjoint (place, length, distance code) where pixels repeat those above or to the left."""
-    found: list[tuple[int, int, int]] = []
-    for code, back in ((1, width), (2, 1)):
-        if len(flat) <= back + least:
-            continue
-        same = flat[back:] == flat[:-back]
-        edge = _edges(same).reshape(-1, 2)
-        for a, b in edge[edge[:, 1] - edge[:, 0] >= least].tolist():
-            while b - a >= least:
-                n = min(b - a, 4096)
-                found.append((a + back, n, code))
-                a += n
-    found.sort()
+#: Pixels that a back-reference covers at least (a power of two), and the largest distance that has a code.
+LEAST_MATCH, FARTHEST = 16, (1 << 20) - 120
+
+
+def _repeats(flat: np.ndarray) -> np.ndarray:
+    """(start, end, distance) of the runs of places whose next LEAST_MATCH pixels stood nearest before at one distance."""
+    n = len(flat) - LEAST_MATCH + 1
+    if n < 2:
+        return np.zeros((0, 3), np.int64)
+    # The key of twice as many pixels is made of two keys.
+    key, size, factor = flat.astype(np.uint64), 1, 0x9E3779B97F4A7C15
+    while size < LEAST_MATCH:
+        key = key[:-size] * np.uint64(factor) + key[size:]
+        size, factor = 2 * size, factor * factor & 0xFFFFFFFFFFFFFFFF
+    # Keys with their places in the low bits: sorted numbers are several times as fast as a sorted order of them.
+    low = np.uint64((1 << n.bit_length()) - 1)
+    key = np.sort((key & ~low) | np.arange(n, dtype=np.uint64))
+    order = (key & low).astype(np.int64)
+    again = np.flatnonzero((key[1:] ^ key[:-1]) <= low)
+    back = np.zeros(n + 2, np.int64)
+    back[order[again + 1] + 1] = order[again + 1] - order[again]
+    edge = np.flatnonzero(back[1:] != back[:-1])
+    runs = np.stack([edge[:-1], edge[1:], back[edge[:-1] + 1]], 1)
+    return runs[(runs[:, 2] > 0) & (runs[:, 2] <= FARTHEST)]
+
+
+def _matches(flat: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """Disjoint (place, length, distance code) of pixels that stood before, at the nearest distance."""
     out, end = [], 0
-    for a, n, code in found:
-        if a < end:
-            n -= end - a
-            a = end
-        if n >= least:
+    for a, b, back in _repeats(flat).tolist():
+        code = 1 if back == width else 2 if back == 1 else back + 120
+        # Keys may collide.
+        b += LEAST_MATCH - 1
+        unlike = np.flatnonzero(flat[a:b] != flat[a - back : b - back])
+        b = a + int(unlike[0]) if len(unlike) else b
+        a = max(a, end)
+        while b - a >= LEAST_MATCH:
+            n = min(b - a, 4096)
             out.append((a, n, code))
-            end = a + n
+            a += n
+            end = a
     return out
 
 
@@ -663,13 +682,13 @@ def _write_pixels(out: Writer, pixels: np.ndarray, width: int, main: bool, cache
                 green[i] = 280 + s
             held[s] = v
     cached = green >= 280
-    tokens = [(a, *_prefix(n), code, n) for a, n, code in matches]
+    tokens = [(a, *_prefix(n), *_prefix(code), n) for a, n, code in matches]
     counts = [np.bincount(green[plain], minlength=280 + (1 << cache_bits if cache_bits else 0))]
     for t in tokens:
         counts[0][256 + t[1]] += 1
     for c in channels[1:]:
         counts.append(np.bincount([c] if isinstance(c, int) else c[plain & ~cached], minlength=256))
-    counts.append(np.bincount([t[4] - 1 for t in tokens] or [0], minlength=40))
+    counts.append(np.bincount([t[4] for t in tokens] or [0], minlength=40))
     lengths = [code_lengths(c) for c in counts]
     codes = [codes_of(n) for n in lengths]
     bare = [np.count_nonzero(n) < 2 for n in lengths]
@@ -682,7 +701,7 @@ def _write_pixels(out: Writer, pixels: np.ndarray, width: int, main: bool, cache
         _write_lengths(out, n)
     bits = [np.zeros_like(n) if b else n for n, b in zip(lengths, bare, strict=True)]
     a = 0
-    for b, prefix, extra, extra_bits, code, n in [*tokens, (len(flat), 0, 0, 0, 0, 0)]:
+    for b, prefix, extra, extra_bits, far, far_extra, far_bits, n in [*tokens, (len(flat), *[0] * 7)]:
         if b > a:
             if all(bare[1:4]):
                 out.many(codes[0][green[a:b]], bits[0][green[a:b]])
@@ -693,10 +712,13 @@ def _write_pixels(out: Writer, pixels: np.ndarray, width: int, main: bool, cache
                 sizes = np.stack([bits[k][own[k]] for k in range(4)], 1)
                 sizes[cached[a:b], 1:] = 0
                 out.many(values.ravel(), sizes.ravel())
-        if code:
+        if n:
             out.put(int(codes[0][256 + prefix]), int(bits[0][256 + prefix]))
             out.put(extra, extra_bits)
-            out.put(int(codes[4][code - 1]), int(bits[4][code - 1]))
+            out.put(int(codes[4][far]), int(bits[4][far]))
+            # No value of more than 16 bits is written at once.
+            out.put(far_extra & 0xFFFF, min(far_bits, 16))
+            out.put(far_extra >> 16, max(far_bits - 16, 0))
             a = b + n
 
 
@@ -783,14 +805,58 @@ def as_file(picture: bytes) -> bytes:
 # --- operator -------------------------------------------------------------
 
 
+def _bits(values: np.ndarray) -> float:
+    """The bits of the values by the entropy of their counts."""
+    c = np.bincount(values, minlength=1)
+    c = c[c > 0]
+    return float((c * (np.log2(len(values)) - np.log2(c))).sum())
+
+
+#: Predictors that are tried for a block of 16 by 16 samples: none, left, above, their mean.
+_TRIED, _BLOCK = (0, 1, 2, 7), 4
+
+
+def predictor_modes(samples: np.ndarray) -> tuple[np.ndarray, float]:
+    """The mode of each block that leaves the least residuals, and the bits of all residuals with those of the modes."""
+    x = samples.astype(np.int16)
+    height, width = x.shape
+    left, above = np.zeros_like(x), np.zeros_like(x)
+    left[:, 1:], above[1:] = x[:, :-1], x[:-1]
+    rest = np.stack([(x - g) & 255 for g in (np.zeros_like(x), left, above, (left + above) >> 1)])
+    rest[:, 0, 1:], rest[:, 1:, 0] = rest[1, 0, 1:], rest[2, 1:, 0]  # fixed by the format
+    size = np.minimum(rest, 256 - rest)
+    down, across = -(-height >> _BLOCK), -(-width >> _BLOCK)
+    whole = np.pad(size, ((0, 0), (0, (down << _BLOCK) - height), (0, (across << _BLOCK) - width)))
+    cost = whole.reshape(len(_TRIED), down, 1 << _BLOCK, across, 1 << _BLOCK).sum((2, 4), dtype=np.int64)
+    best = cost.argmin(0)
+    each = np.repeat(np.repeat(best, 1 << _BLOCK, 0)[:height], 1 << _BLOCK, 1)[:, :width]
+    own = np.take_along_axis(rest, each[None], 0)[0]
+    return np.array(_TRIED)[best], _bits(own.ravel()) + 2 * best.size + 128
+
+
+def chosen_steps(samples: np.ndarray) -> tuple:
+    """The transforms that the estimate finds smallest: palette, predictor, or none.
+
+    Only green varies, so the transforms between channels and the colour cache can't gain: a literal is its green code alone.
+    """
+    flat = samples.ravel()
+    if np.count_nonzero(np.bincount(flat, minlength=256)) <= 16:
+        return ((PALETTE,),)
+    plain = _bits(flat)
+    # Blocks can hardly gain where neither neighbour is near a gain for the whole picture.
+    if min(_bits(flat[back:] - flat[:-back]) if len(flat) > back else plain for back in (1, WIDTH)) > 1.1 * plain:
+        return ()
+    modes, bits = predictor_modes(samples)
+    return ((PREDICTOR, modes, _BLOCK),) if bits < plain else ()
+
+
 def store(payload: bytes) -> bytes:
     """A payload, a multiple of 64 bytes, as lossless WebP: bytes are green samples."""
     out = []
     for a in range(0, len(payload), WIDTH * ROWS):
-        part = np.frombuffer(payload, np.uint8, min(WIDTH * ROWS, len(payload) - a), a)
-        pixels = (part.astype(np.uint32).reshape(-1, WIDTH) << 8) | np.uint32(_BLACK)
-        few = np.count_nonzero(np.bincount(part, minlength=256)) <= 16
-        out.append(as_file(encode_picture(pixels, ((PALETTE,),) if few else ())))
+        part = np.frombuffer(payload, np.uint8, min(WIDTH * ROWS, len(payload) - a), a).reshape(-1, WIDTH)
+        pixels = (part.astype(np.uint32) << 8) | np.uint32(_BLACK)
+        out.append(as_file(encode_picture(pixels, chosen_steps(part))))
     return b"".join(out)
 
 

@@ -90,3 +90,25 @@ def general(bits, group, width, total):
 def test_a_broken_file_is_refused():
     with pytest.raises(ValueError):
         list(webp.pictures(b"GIF89a" + b"\0" * 60))
+
+
+def test_store_chooses_transforms_and_far_references():
+    r = np.random.default_rng(5)
+    smooth = (np.cumsum(r.integers(-2, 3, 64 * 60)) & 255).astype(np.uint8).tobytes()
+    noise = r.integers(0, 256, 64 * 20, np.uint8).tobytes()
+    far = noise + r.integers(0, 256, 64 * 3 + 64, np.uint8).tobytes() + noise[5:] + noise[:5]
+    for payload, most in ((smooth, 0.5), (far, 0.7)):
+        media = webp.store(payload)
+        assert webp.load(media) == payload and len(media) < most * len(payload)
+    kinds = [[x[0] for x in webp.chosen_steps(np.frombuffer(p, np.uint8).reshape(-1, 64))] for p in (smooth, far, b"ab" * 64)]
+    assert kinds == [[webp.PREDICTOR], [], [webp.PALETTE]]
+
+
+@pytest.mark.parametrize("distance", [2, 63, 64, 65, 121, 5000, 70_000, 120_000])
+def test_references_at_any_distance(distance):
+    r = np.random.default_rng(distance)
+    first = r.integers(0, 256, distance, np.uint8).tobytes()
+    payload = (first * (200 // distance + 2))[: distance + 5000]
+    payload += b"\0" * (-len(payload) % 64)
+    media = webp.store(payload)
+    assert webp.load(media) == payload and len(media) < distance + 1500
