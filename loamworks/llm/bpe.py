@@ -9,7 +9,10 @@ chunks of a batch that are new:
 2. the distinct adjacent token pairs of all those words are tested at once:
    a pair is compatible if merging its own characters gives the pair again.
    A word all of whose pairs are compatible is encoded exactly;
-3. only a word with an incompatible pair goes through exact merging.
+3. only a word with an incompatible pair goes through exact merging, all of
+   them side by side: a step merges, in every word, the pairs of its least rank.
+
+Words are remembered too, as many chunks differ only by the marks around one.
 
 Cases: null and empty texts have no tokens; the two special strings match as
 whole tokens wherever they stand; a text of any length is encoded whole;
@@ -18,11 +21,14 @@ repeated rows give repeated results; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +36,17 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.bpe import merge_flat
+from ..operators.ragged import offsets, spread
 from .common import arrow_pass, table, text_of, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks that a worker remembers; then it starts anew, with the same results.
+#: Chunks, and words, that a worker remembers; then it starts anew, with the same results.
 REMEMBERED = 300_000
-#: Characters of the longest chunk that is remembered; a text without blanks is one chunk.
+#: Characters of the longest chunk or word that is remembered; a text without blanks is one chunk.
 LONGEST = 256
+#: Symbols of the longest word that is merged side by side with others.
+TOGETHER = 64
 _END = "</w>"
 #: Before a special token among chunks; a lone surrogate, which no text holds.
 _MARK = "\ud800"
@@ -60,6 +70,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles meanwhile: tables of strings have none, and it would pass over all of them again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class WordBpe:
     """Encoder of one vocabulary file."""
 
@@ -72,10 +94,26 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self.longest = max(map(len, self.ids))
+        #: The length of the longest token that begins with these three letters, and of none.
+        self.reach: dict[str, int] = {}
+        for t in self.ids:
+            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
         self.letters = byte_letters()
         self._fits: dict[int, bool] = {}
         self._table = str.maketrans({b: c for b, c in self.letters.items()})
         self.chunks: dict[str, tuple[str, str]] = {}
+        self.words: dict[str, tuple[str, str]] = {}
+        pairs = sorted((self.ids[a] << 32 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items())
+        #: Pairs of ids in order, and the rank and the product of each.
+        self._pairs, self._rank, self._made = (np.array([p[i] for p in pairs], np.int64) for i in range(3))
+        #: The id of each letter, and of each letter that ends a word.
+        self._letter, self._last = (np.zeros(max(map(ord, self.letters.values())) + 1, np.int64) for _ in range(2))
+        for c in self.letters.values():
+            self._letter[ord(c)], self._last[ord(c)] = self.ids[c], self.ids[c + _END]
+        #: The symbols of every token, one after the other, and where those of a token end.
+        parts = [[self.ids[c] for c in self.symbols(self.tokens[i])] if self.tokens.get(i) in self.ids else [] for i in range(max(self.tokens) + 1)]
+        self._symbols = np.fromiter(chain.from_iterable(parts), np.int64)
+        self._ends = offsets(np.array([len(x) for x in parts], np.int64))
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Exact merging: the pair of the lowest rank first, leftmost first."""
@@ -139,7 +177,7 @@ class WordBpe:
                 if t is not None:
                     out.append(t)
                     return out
-            for j in range(min(tail - 1, self.longest), 0, -1):
+            for j in range(min(tail - 1, self.reach.get(word[i : i + 3], 2)), 0, -1):
                 t = ids.get(word[i : i + j])
                 if t is not None:
                     out.append(t)
@@ -151,17 +189,34 @@ class WordBpe:
 
     def fits(self, pairs: np.ndarray) -> np.ndarray:
         """Of distinct pairs (a << 32 | b): does merging their characters give them back? b alone if a is -1."""
-        known, out = self._fits, np.empty(len(pairs), bool)
+        known = self._fits
         if len(known) > 4 * REMEMBERED:
             known.clear()
-        for k, p in enumerate(pairs.tolist()):
-            ok = known.get(p)
-            if ok is None:
-                a, b = p >> 32, p & 0xFFFFFFFF
-                want = [self.tokens[b]] if a < 0 else [self.tokens[a], self.tokens[b]]
-                ok = known[p] = self.merge([c for t in want for c in self.symbols(t)]) == want
-            out[k] = ok
-        return out
+        listed = pairs.tolist()
+        new = np.array([p for p in listed if p not in known], np.int64)
+        if len(new):
+            a, b = new >> 32, new & 0xFFFFFFFF
+            both = np.stack([np.where(a < 0, b, a), b], axis=1)
+            length = np.diff(self._ends)[both]
+            length[a < 0, 1] = 0
+            flat, sizes = merge_flat(self._symbols[spread(self._ends[:-1][both].ravel(), length.ravel())], length.sum(axis=1), self._pairs, self._rank, self._made)
+            starts = np.cumsum(sizes) - sizes
+            ok = (sizes == np.where(a < 0, 1, 2)) & (flat[starts] == both[:, 0]) & (flat[starts + sizes - 1] == b)
+            known.update(zip(new.tolist(), ok.tolist(), strict=True))
+        return np.fromiter(map(known.__getitem__, listed), bool, len(listed))
+
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Ids by exact merging of words in byte letters, none empty; very long ones one by one."""
+        short = [w for w in words if len(w) <= TOGETHER]
+        sizes = np.fromiter(map(len, short), np.int64, len(short))
+        codes = np.frombuffer("".join(short).encode("utf-32-le"), "<u4")
+        flat = self._letter[codes]
+        last = np.cumsum(sizes) - 1
+        flat[last] = self._last[codes[last]]
+        flat, sizes = merge_flat(flat, sizes, self._pairs, self._rank, self._made)
+        listed, upto = flat.tolist(), offsets(sizes).tolist()
+        made = iter([listed[a:b] for a, b in zip(upto, upto[1:], strict=False)])
+        return [next(made) if len(w) <= TOGETHER else [self.ids[s] for s in self.merge(self.symbols(w + _END))] for w in words]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of distinct words given in byte letters."""
@@ -181,8 +236,9 @@ class WordBpe:
             ok[pairs != -1] = self.fits(tested)[back]
         failed = sizes == 0
         failed[owner[~ok]] = True
-        for i in np.flatnonzero(failed):
-            proposed[i] = [self.ids[s] for s in self.merge(self.symbols(words[i] + _END))]
+        wrong = np.flatnonzero(failed).tolist()
+        for i, ids in zip(wrong, self.merge_all([words[i] for i in wrong]), strict=True):
+            proposed[i] = ids
         return proposed
 
     def normalise(self, text: str) -> str:
@@ -211,28 +267,41 @@ class WordBpe:
         """Adds chunks to the table: the ids and the tokens of each, as text."""
         if len(self.chunks) + len(chunks) > REMEMBERED:
             self.chunks.clear()
-        words: dict[str, int] = {}
-        made: list[tuple[str, list[int]]] = []
+        made: list[tuple[str, list[str]]] = []
         for c in chunks:
             if c[0] == _MARK and c[1:] in self.special:
                 self.chunks[c] = (str(self.special[c[1:]]), c[1:])
-                continue
-            own = []
-            for w in _WORDS.findall(c):
-                w = w.encode("utf-8").decode("latin-1").translate(self._table)
-                own.append(words.setdefault(w, len(words)))
-            made.append((c, own))
-        encoded = self.encode_words(list(words))
+            else:
+                made.append((c, _WORDS.findall(c)))
+        every = set(chain.from_iterable(own for _, own in made))
+        known = self.words
+        new = every.difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = every
+        encoded = self.encode_words([w.encode("utf-8").decode("latin-1").translate(self._table) for w in new])
+        for w, ids in zip(new, encoded, strict=True):
+            known[w] = (" ".join(map(str, ids)), " ".join([self.tokens[t] for t in ids]))
         for c, own in made:
-            ids = [t for k in own for t in encoded[k]]
-            self.chunks[c] = (" ".join(map(str, ids)), " ".join(self.tokens[t] for t in ids))
+            if len(own) == 1:
+                self.chunks[c] = known[own[0]]
+            elif len(own) == 2:
+                x, y = known[own[0]], known[own[1]]
+                self.chunks[c] = (f"{x[0]} {y[0]}", f"{x[1]} {y[1]}")
+            else:
+                found = [known[w] for w in own]
+                self.chunks[c] = (" ".join([x[0] for x in found]), " ".join([x[1] for x in found]))
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
 
     def encode_texts(self, texts: list[str]) -> Iterator[list[tuple[str, str]]]:
         """For each text the (ids, tokens) of its chunks."""
         cut = [self.pieces(t) for t in texts]
         new = {c for own in cut for c in own} - self.chunks.keys()
         if new:
-            self.learn({c for own in cut for c in own} if len(self.chunks) + len(new) > REMEMBERED else new)
+            with uncollected():
+                self.learn({c for own in cut for c in own} if len(self.chunks) + len(new) > REMEMBERED else new)
         found = [[self.chunks[c] for c in own] for own in cut]
         for c in new:
             if len(c) > LONGEST:

@@ -132,3 +132,19 @@ def test_shards(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots)
     assert all(abs(s - sum(sums) / 16) <= 2001 for s in sums)
     assert sharding.shard_by_bytes(df.limit(0)).count() == 0
+
+
+def test_words_are_merged_together_and_encoded_once(library, monkeypatch):
+    r = random.Random(9)
+    words = ["".join(r.choice("etaoinsrhl") for _ in range(r.randint(3, 14))) for _ in range(400)] + ["ab" * 100, "x" * 65, "y" * 64]
+    one_by_one, encoded = [], []
+    merge, encode_words = bpe.WordBpe.merge, bpe.WordBpe.encode_words
+    monkeypatch.setattr(bpe.WordBpe, "merge", lambda self, s: one_by_one.append(len(s)) or merge(self, s))
+    monkeypatch.setattr(bpe.WordBpe, "encode_words", lambda self, w: encoded.extend(w) or encode_words(self, w))
+    own = bpe.WordBpe(bpe.vocabulary_path())
+    for mark in ("", ",", ".", "***"):
+        texts_ = [" ".join(w + mark for w in words)]
+        got = [int(x) for s, _ in next(own.encode_texts(texts_)) for x in s.split()]
+        assert got == library.encode(texts_[0], add_special_tokens=False).ids
+    assert sorted(encoded) == sorted({*words, ",", ".", "***"})
+    assert all(n > bpe.TOGETHER for n in one_by_one)
