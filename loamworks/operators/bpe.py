@@ -338,7 +338,7 @@ def counted_merges(
     try:
         size = words.agg(F.sum(F.octet_length("w").cast("long"))).first()[0] or 0
         if size > MOST_SYMBOLS:
-            return spark_merges(words, target, min_frequency, MOST_SYMBOLS, often=often), often
+            return spark_merges(words, target, min_frequency, MOST_SYMBOLS, often=often, total=size), often
         counts = {w.encode(): n for w, n in words.orderBy(F.desc("n"), "w").toPandas().itertuples(index=False)}
     finally:
         words.unpersist()

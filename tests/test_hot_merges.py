@@ -43,3 +43,21 @@ def test_too_many_pairs_of_one_count_are_merged_one_by_one(spark, monkeypatch):
     counts = words(5, "abc", 30, 6)
     want = bpe.learn_merges({w.encode(): n for w, n in counts.items()}, 6)
     assert hot_merges.spark_merges(table(spark, counts), 6) == want
+
+
+def test_a_large_table_begins_with_few_hot_pairs(spark, monkeypatch):
+    passes, fragments = [], hot_merges.fragments
+    monkeypatch.setattr(hot_merges, "fragments", lambda w, hot: passes.append(len(hot)) or fragments(w, hot))
+    monkeypatch.setattr(bpe, "MOST_SYMBOLS", 400)
+    counts, r = words(6, "abcdefghijklmnop", 900, 9), random.Random(7)
+    rows = [(" " * bool(w) + w,) for w, n in counts.items() for _ in range(n)]
+    r.shuffle(rows)
+    got, often = bpe.counted_merges(spark.createDataFrame(rows, "text string"), 12)
+    kept = {}
+    for (t,) in rows:
+        kept[t.encode()] = kept.get(t.encode(), 0) + 1
+    assert got == bpe.learn_merges(kept, 12) and len(often) == 12
+    # The first pass over the words is for few hot pairs already, not for thousands that are then too many.
+    assert passes[0] <= 2 * hot_merges.LEAST_HOT
+    assert [hot_merges.first_hot(n, 10) for n in (None, 10, 20, 10**6)] == [4096, 4096, 1024, 16]
+    assert [hot_merges.faster(n, 1024) for n in (0, 1, 2, 15, 16, 127, 128, 9999)] == [8, 8, 4, 4, 2, 2, 1, 1]
